@@ -75,35 +75,39 @@ def diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DIAGNOSIS_SQL, orders=table(spark, sf_dir, "orders"))
 
 
-def escaped(text):
+def _cell(text, empty_as: str):
+    escaped = text
     for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(raw), F.lit(entity))
-    return text
+        escaped = F.replace(escaped, F.lit(raw), F.lit(entity))
+    return F.when(text.isNull() | (text == ""), empty_as).otherwise(F.concat(F.lit("<td>"), escaped, F.lit("</td>")))
 
 
 def row_markup(cells, empty_as: str = "<td></td>"):
     """``<tr>`` with one ``<td>`` per cell; a NULL or empty cell becomes ``empty_as``."""
-    parts = [F.when(cell.isNull() | (cell == ""), empty_as).otherwise(F.concat(F.lit("<td>"), escaped(cell),
-                                                                              F.lit("</td>"))) for cell in cells]
-    return F.concat(F.lit("<tr>"), *parts, F.lit("</tr>"))
+    marked = F.transform(F.array(*cells), lambda text: _cell(text, empty_as))
+    return F.concat(F.lit("<tr>"), F.array_join(marked, ""), F.lit("</tr>"))
 
 
-def documents(rows: DataFrame, by: list[str], order: str, titles: list[str]) -> DataFrame:
-    """One HTML document per ``by`` group, its ``tr`` rows in ``order``. Groups must be bounded by their rule."""
+def documents(rows: DataFrame, by: list[str], order: str, tr, titles: list[str]) -> DataFrame:
+    """One HTML document per ``by`` group, its ``tr`` rows in ``order``. Groups must be bounded by their rule.
+
+    The narrow source rows are shuffled, before they become markup; the grouping then needs no shuffle of its own.
+    """
     head = "".join(f"<th>{title}</th>" for title in titles)
     ordered = F.sort_array(F.collect_list(F.struct(order, "tr")))
-    return (rows.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda row: row["tr"]), "").alias("_rows"))
+    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartition(count, *by).select(*by, order, tr.alias("tr"))
+    return (placed.groupBy(*by).agg(F.array_join(F.transform(ordered, lambda row: row["tr"]), "").alias("_rows"))
             .select(*by, F.concat(F.lit(f"<html><body><a href=\"#top\">Jump to top</a><br><table><tr>{head}</tr>"),
                                   "_rows", F.lit("</table></body></html>")).alias("html")))
 
 
 def diagnosis_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``report_id, source_path, html``: a report is one document per page of keys."""
-    rows = diagnosis(spark, sf_dir).select(
-        "report_id", F.concat(F.lit("page"), F.format_string("%012d", F.floor(F.col("k") / PAGE_KEYS)))
-        .alias("source_path"), "k",
-        row_markup([F.col(f.name).cast("string") for f in DIAGNOSIS_FIELDS]).alias("tr"))
-    return documents(rows, ["report_id", "source_path"], "k", [f.title for f in DIAGNOSIS_FIELDS])
+    page = F.concat(F.lit("page"), F.format_string("%012d", F.floor(F.col("k") / PAGE_KEYS)))
+    rows = diagnosis(spark, sf_dir).withColumn("source_path", page)
+    tr = row_markup([F.col(f.name).cast("string") for f in DIAGNOSIS_FIELDS])
+    return documents(rows, ["report_id", "source_path"], "k", tr, [f.title for f in DIAGNOSIS_FIELDS])
 
 
 def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
@@ -115,10 +119,10 @@ def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> Da
     text = [F.col(name).cast("string") for name in ("l_orderkey", "l_linenumber", "l_partkey")]
     tr = row_markup([*text, F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))])
     if broken:
-        tr = F.when(F.col("l_linenumber") == 3, F.regexp_replace(tr, "</td><td>3</td>", "</td><td>3")).otherwise(tr)
-    numbered = lines.select(F.monotonically_increasing_id().alias("at"), tr.alias("tr"))
-    rows = numbered.select(F.floor(F.col("at") / LINES).alias("report_id"), "at", "tr")
-    return documents(rows, ["report_id"], "at", ["Order", "Line", "Part", "Flag"])
+        tr = F.when(F.col("l_linenumber") == 3, F.regexp_replace(tr, r"^(<tr><td>\d+</td><td>3)</td>", "$1")).otherwise(tr)
+    numbered = lines.withColumn("at", F.monotonically_increasing_id())
+    rows = numbered.withColumn("report_id", F.floor(F.col("at") / LINES))
+    return documents(rows, ["report_id"], "at", tr, ["Order", "Line", "Part", "Flag"])
 
 
 # How a usage cell of each type is made from the key, as Spark text and as a value in the check's SQL.
@@ -151,5 +155,5 @@ def usage_cell(field, forms) -> str:
 def usage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "cast(o_orderdate as timestamp_ntz) as d")
     tr = row_markup([F.expr(usage_cell(f, CELL_TEXT)) for f in USAGE_FIELDS])
-    rows = orders.select(F.floor(F.col("k") / USAGE_KEYS).alias("report_id"), "k", tr.alias("tr"))
-    return documents(rows, ["report_id"], "k", [f.title for f in USAGE_FIELDS])
+    rows = orders.withColumn("report_id", F.floor(F.col("k") / USAGE_KEYS))
+    return documents(rows, ["report_id"], "k", tr, [f.title for f in USAGE_FIELDS])

@@ -176,7 +176,7 @@ ORACLES: dict[str, str] = {
     "shred_diagnosis": f"{D} select report_id, {CELLS} from d",
     "shred_lineitem": "select l_orderkey, l_linenumber, l_partkey, nullif(l_returnflag, 'N') as l_returnflag "
                       "from lineitem",
-    "quarantine": "select l_orderkey, count(*) filter (l_linenumber <> 3 and l_partkey <> 3) as n_sound, "
+    "quarantine": "select l_orderkey, count(*) filter (l_linenumber <> 3) as n_sound, "
                   "count(*) filter (l_linenumber = 3) as n_broken from lineitem group by 1",
     "usage_typed": _usage_sql("report_id, " + ", ".join(USAGE_COLUMNS)),
     "usage_projection": _usage_sql("index_id, index_name, rows, reserved_mb, last_user_seek"),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from reportloom.functions import text as tx
-from reportloom.functions.convert import to_type
 from reportloom.operators import derive as dv
 from reportloom.operators import report as rp
 from reportloom.operators.classify import classify
@@ -92,7 +91,7 @@ def quarantine(spark, sf_dir):
     rows = shredded(fx.line_documents(spark, sf_dir, broken=True), (), check_headings=False)
     first = F.regexp_extract("tr", r"<td>(\d+)<", 1).try_cast("bigint")
     return rows.groupBy(first.alias("l_orderkey")).agg(
-        F.count_if(F.col("problem").isNull()).alias("n_sound"), F.count_if("problem = 'malformed row'").alias("n_broken"))
+        F.count_if(F.col("problem").isNull()).alias("n_sound"), F.count_if(F.col("problem") == "malformed row").alias("n_broken"))
 
 
 # ---- usage reports
@@ -204,7 +203,7 @@ def scalar_text(spark, sf_dir):
         tx.before(tx.after_last(c("size"), "; "), "MB").alias("text_between"),
         tx.tail(c("more_info"), "=").alias("text_tail"), tx.swap(c("size"), "ROWS", "lines").alias("swapped"),
         F.locate(";", c("size")).cast("bigint").alias("place"), tx.number(tx.through(c("size"), " "), "bigint")
-        .alias("n"), to_type(c("secret_columns"), "int").alias("not_a_number"),
+        .alias("n"), tx.number(c("secret_columns"), "int").alias("not_a_number"),
         tx.shown(c("secret_columns")).alias("shown"), F.lower("finding").alias("lowered"),
         F.concat(c("database_name"), F.lit("."), F.nullif(c("secret_columns"), F.lit(""))).alias("joined"))
 

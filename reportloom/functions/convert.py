@@ -6,12 +6,12 @@ from pyspark.sql import Column, functions as F
 
 BLANKS = " \t\r\n"
 
-# The date forms reports use besides ISO, as one pattern each.
-SLASH_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?\s*([APap])?[Mm]?)?$"
-NAMED_DATE = r"^([A-Za-z]{3})\s+(\d{1,2})\s+(\d{4})(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}(?:\.\d{1,6})?))?\s*([APap])?[Mm]?)?$"
+# The date forms reports use besides ISO. Month/day/year or month name first, then an optional clock.
+OTHER_DATE = (r"^(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[A-Za-z]{3}\s+[0-9]{1,2}\s+[0-9]{4})"
+              r"(?:\s+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?\s*(?:[AaPp][Mm])?)?$")
+DATE_PARTS = r"[/:\s]+|(?<=[0-9])(?=[AaPp])"
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
-
 def is_blank(cell: Column) -> Column:
     return F.btrim(cell, F.lit(BLANKS)) == ""
 
@@ -25,36 +25,24 @@ def empty_kept(cell: Column) -> Column:
     return F.when(is_blank(cell), "").otherwise(cell)
 
 
-def _group(text: Column, pattern: str, index: int) -> Column:
-    return F.regexp_extract(text, pattern, index)
-
-
-def _clock(text: Column, pattern: str, year: Column, month: Column, day: Column) -> Column:
-    hour = _group(text, pattern, 4).try_cast("int")
-    half = F.upper(_group(text, pattern, 7))
-    hour = F.when(half == "", hour).otherwise(hour % 12 + F.when(half == "P", 12).otherwise(0))
-    return F.try_make_timestamp_ntz(
-        year, month, day, F.coalesce(hour, F.lit(0)),
-        F.coalesce(_group(text, pattern, 5).try_cast("int"), F.lit(0)),
-        F.coalesce(_group(text, pattern, 6).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)")))
+def _from_parts(parts: Column) -> Column:
+    """Month, day, year, hour, minute, second, half of the day; the last three or four may be missing."""
+    at = lambda index: F.get(parts, F.lit(index))
+    named = (F.position(F.lower(at(0)), F.lit(MONTHS)) + 2) / 3
+    month = F.coalesce(at(0).try_cast("int"), F.when(named == F.floor(named), named.cast("int")))
+    half = F.upper(F.element_at(parts, -1))
+    hour = F.coalesce(at(3).try_cast("int"), F.lit(0))
+    hour = F.when(half.isin("AM", "PM"), hour % 12 + F.when(half == "PM", 12).otherwise(0)).otherwise(hour)
+    second = F.coalesce(at(5).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    return F.try_make_timestamp_ntz(at(2).try_cast("int"), month, at(1).try_cast("int"), hour,
+                                    F.coalesce(at(4).try_cast("int"), F.lit(0)), second)
 
 
 def to_datetime(cell: Column) -> Column:
-    """ISO first; then month/day/year and month-name forms, which only the rows that need them pay for."""
+    """ISO first; then month/day/year and month-name forms, which only the cells that hold them pay for.
+
+    A lambda over the parts splits such a date once.
+    """
     text = F.btrim(cell, F.lit(BLANKS))
-    part = lambda pattern, index: _group(text, pattern, index).try_cast("int")
-    month = (F.position(F.lower(_group(text, NAMED_DATE, 1)), F.lit(MONTHS)) + 2) / 3
-    return F.coalesce(
-        text.try_cast("timestamp_ntz"),
-        F.when(text.rlike(SLASH_DATE), _clock(text, SLASH_DATE, part(SLASH_DATE, 3), part(SLASH_DATE, 1),
-                                              part(SLASH_DATE, 2))),
-        F.when(text.rlike(NAMED_DATE), _clock(text, NAMED_DATE, part(NAMED_DATE, 3), F.when(month == F.floor(month), month.cast("int")),
-                                              part(NAMED_DATE, 2))))
-
-
-def to_type(cell: Column, type_: str) -> Column:
-    if type_ == "string":
-        return cell
-    if type_ == "timestamp_ntz":
-        return to_datetime(cell)
-    return F.btrim(cell, F.lit(BLANKS)).try_cast(type_)
+    other = F.get(F.transform(F.array(F.split(text, DATE_PARTS)), _from_parts), F.lit(0))
+    return F.coalesce(text.try_cast("timestamp_ntz"), F.when(text.rlike(OTHER_DATE), other))

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reportloom.functions.convert import empty_kept, empty_to_null, to_type
+from reportloom.functions.convert import empty_kept, empty_to_null, to_datetime
 from reportloom.schema import Field
 
 # Markup that reports carry around their tables, and what takes its place.
@@ -26,12 +26,12 @@ USAGE_REPLACEMENTS = (TOP_LINK, LINE_BREAK, EMPTY_CELL, STYLESHEET, SEARCH_BOX,
 DIAGNOSIS_REPLACEMENTS = (TOP_LINK, LINE_BREAK, EMPTY_CELL)
 
 TABLE = r"(?is)<table\b.*?</table\s*>"
-ROW = r"(?is)<tr\b.*?</tr\s*>"
+TABLE_END = r"(?i)</table\b"
+ROW_END = r"(?i)</tr\s*>"
+ROW_START = "<tr"
 HEADING = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"
 INNER_TAG = r"(?i)<(?!/?t[dhr]\b)[^>]*>"
-CELL = r"(?i)<td(?:\s[^>]*)?(?:/>|>([^<]*)</td\s*>)"
-CELL_START = r"(?i)<td\b"
-CELL_END = r"(?i)</td\b"
+UPPER_TAGS = ("<T", "</T")
 
 CELLS_XML = "td array<string>, _corrupt_record string"
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt_record",
@@ -60,59 +60,75 @@ def shred_rows(docs: DataFrame, html: str = "html", fields: Sequence[Field] | No
 
     Only the first table of a document counts unless ``all_tables`` is set. A document without a table, or with a
     heading row alone, gives nothing. With ``fields``, ``header_ok`` says whether the heading row names those fields.
+
+    A table is cut at its row end tags. The generators are outer ones with a filter on their position: for inner ones
+    Catalyst would test the array's size below the generator and so cut every document a second time.
     """
     kept = [c for c in docs.columns if c != html]
     if all_tables:
-        tables = docs.select(*kept, F.posexplode(F.regexp_extract_all(html, F.lit(TABLE), F.lit(0)))
-                             .alias("table_pos", "_table"))
+        tables = (docs.select(*kept, F.posexplode_outer(F.regexp_extract_all(html, F.lit(TABLE), F.lit(0)))
+                              .alias("table_pos", "_table")).where("table_pos >= 0"))
     else:
-        upto_end = F.get(F.split(F.col(html), r"(?i)</table\b", 2), F.lit(0))
         tables = docs.select(*kept, F.lit(0).alias("table_pos"),
-                             F.get(F.split(upto_end, r"(?i)<table\b", 2), F.lit(1)).alias("_table"))
-    rows = tables.select(*kept, "table_pos", F.regexp_extract_all("_table", F.lit(ROW), F.lit(0)).alias("_rows"))
+                             F.get(F.split(F.col(html), TABLE_END, 2), F.lit(0)).alias("_table"))
+    pieces = tables.select(*kept, "table_pos", F.split("_table", ROW_END).alias("_pieces"))
+    first = F.get("_pieces", F.lit(0))
+    in_table = F.when(F.lower(first).contains("<table"), F.col("_pieces"))
     if fields is not None:
-        rows = rows.select(*kept, "table_pos", "_rows",
-                           _same_headings(F.get("_rows", F.lit(0)), fields).alias("header_ok"))
+        pieces = pieces.select(*kept, "table_pos", in_table.alias("_pieces"),
+                               _same_headings(first, fields).alias("header_ok"))
         kept = [*kept, "header_ok"]
-    return (rows.select(*kept, "table_pos", F.posexplode("_rows").alias("_pos", "tr"))
-            .where("_pos > 0")
-            .select(*kept, "table_pos", F.col("_pos").cast("bigint").alias("row_pos"), "tr"))
+    else:
+        pieces = pieces.select(*kept, "table_pos", in_table.alias("_pieces"))
+    starts_at = F.locate(ROW_START, F.lower("_piece"))
+    return (pieces.select(*kept, "table_pos", F.posexplode_outer("_pieces").alias("_pos", "_piece"))
+            .where((F.col("_pos") > 0) & (starts_at > 0))
+            .select(*kept, "table_pos", F.col("_pos").cast("bigint").alias("row_pos"),
+                    F.concat(F.substr("_piece", starts_at), F.lit("</tr>")).alias("tr")))
 
 
 def cells(rows: DataFrame, tr: str = "tr") -> DataFrame:
     """Adds ``cells``, the text of every ``<td>`` in order, and ``problem``, NULL for a sound row.
 
-    Cells are counted, not text nodes, so an empty cell never shifts its neighbours. Markup inside a cell is
-    dropped and its text kept. A row that holds an entity goes through the XML reader, which decodes it once
-    and reports what it cannot read; the plain rest is matched directly.
+    Cells are counted, not text nodes, so an empty cell never shifts its neighbours. Markup inside a cell is dropped
+    before the row is read as XML and its text kept; entities are decoded once. A row that is not well formed gives
+    no cells and a problem.
+
+    The result passes through a one-row generator. A filter on ``problem`` then stays above it; without it Catalyst
+    would push the filter down and read every row twice.
     """
-    bare = rows.withColumn("_bare", F.regexp_replace(F.replace(F.col(tr), F.lit(TOP_LINK[0]), F.lit("")),
-                                                     INNER_TAG, ""))
-    lowered = F.regexp_replace(F.regexp_replace(F.regexp_replace("_bare", CELL_START, "<td"), CELL_END, "</td"),
-                               r"(?i)(</?)tr\b", "$1tr")
-    parsed = bare.withColumn("_xml", F.when(F.contains("_bare", F.lit("&")),
-                                            F.from_xml(lowered, CELLS_XML, XML_OPTIONS)))
-    direct = F.regexp_extract_all("_bare", F.lit(CELL), F.lit(1))
-    chosen = parsed.withColumn("cells", F.when(F.contains("_bare", F.lit("&")),
-                                               F.coalesce("_xml.td", F.array().cast("array<string>")))
-                               .otherwise(direct))
-    starts = F.regexp_count("_bare", F.lit(CELL_START))
-    ends = F.regexp_count("_bare", F.lit(CELL_END)) + F.regexp_count("_bare", F.lit(r"(?i)<td\b[^>]*/>"))
-    problem = F.when((F.size("cells") != starts) | (starts != ends) | F.col("_xml._corrupt_record").isNotNull(),
-                     "malformed row")
-    return chosen.withColumn("problem", problem).drop("_bare", "_xml")
+    bare = F.regexp_replace(F.replace(F.col(tr), F.lit(TOP_LINK[0]), F.lit("")), INNER_TAG, "")
+    lower = reduce(lambda text, tag: F.regexp_replace(text, f"(?i)(</?){tag}\\b", f"$1{tag}"), ("td", "tr"),
+                   F.col("_bare"))
+    has_upper = reduce(lambda a, b: a | b, [F.contains("_bare", F.lit(tag)) for tag in UPPER_TAGS])
+    read = (rows.withColumn("_bare", bare)
+            .withColumn("_row", F.from_xml(F.when(has_upper, lower).otherwise(F.col("_bare")), CELLS_XML,
+                                           XML_OPTIONS)))
+    broken = F.col("_row._corrupt_record").isNotNull()
+    result = F.struct(F.when(~broken, F.coalesce("_row.td", F.array().cast("array<string>"))).alias("cells"),
+                      F.when(broken, "malformed row").alias("problem"))
+    return read.select(*rows.columns, F.inline(F.array(result)))
 
 
 def typed(rows: DataFrame, fields: Sequence[Field], keep: Sequence[str], empty_as_null: bool = True) -> DataFrame:
-    """Binds cells to columns by position and converts them, all in one projection.
+    """Binds cells to columns by position and converts them.
 
     A cell beyond the end of its row is NULL. Blank text is NULL as well, or stays empty text when
-    ``empty_as_null`` is off; blank numbers and dates are NULL in both cases.
+    ``empty_as_null`` is off; blank numbers and dates are NULL in both cases. Blanks and dates are each settled by
+    one pass over an array, which keeps a sixty-column projection small.
     """
+    kept = [f for f in fields if f.kept]
+    dates = [f for f in kept if f.type == "timestamp_ntz"]
+    texts = F.transform("cells", empty_to_null if empty_as_null else empty_kept).alias("_texts")
+    found = rows.select(*keep, texts)
+    if dates:
+        cells_of = F.array(*[F.get("_texts", F.lit(f.position - 1)) for f in dates])
+        found = found.select(*keep, "_texts", F.transform(cells_of, to_datetime).alias("_dates"))
+
     def column(field: Field) -> Column:
-        cell = F.get("cells", F.lit(field.position - 1))
-        if field.type == "string" and not empty_as_null:
-            return empty_kept(cell).alias(field.name)
-        return to_type(empty_to_null(cell), field.type).alias(field.name)
+        if field in dates:
+            return F.get("_dates", F.lit(dates.index(field))).alias(field.name)
+        text = F.get("_texts", F.lit(field.position - 1))
+        return (text if field.type == "string" else text.try_cast(field.type)).alias(field.name)
 
-    return rows.select(*keep, *[column(f) for f in fields if f.kept])
+    return found.select(*keep, *[column(f) for f in kept])

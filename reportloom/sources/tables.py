@@ -24,6 +24,6 @@ def replace_load(df: DataFrame, name: str, load_id: str) -> None:
     A load is a batch of reports, such as a day's, so the number of partitions follows the loads rather than the
     reports. Rows stay in the order of their documents, which keeps a report's rows in neighbouring row groups.
     """
-    columns = df.sparkSession.table(name).columns
-    (df.withColumn("load_id", F.lit(load_id)).select(*columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name))
+    columns = [c for c in df.sparkSession.table(name).columns if c != "load_id"]
+    df.sparkSession.sql(f"INSERT OVERWRITE {name} PARTITION (load_id = :load_id) SELECT * FROM {{rows}}",
+                        args={"load_id": load_id}, rows=df.select(*columns))

@@ -47,6 +47,11 @@ def ends_with(text: Column, suffix: str) -> Column:
     return F.endswith(F.lower(text), F.lit(suffix.lower()))
 
 
+def lowered_ends(lowered: Column, suffix: str) -> Column:
+    """Suffix match on text that is in lower case already."""
+    return F.endswith(lowered, F.lit(suffix.lower()))
+
+
 def starts_with(text: Column, prefix: str) -> Column:
     """Prefix match whatever the case."""
     return F.startswith(F.lower(text), F.lit(prefix.lower()))

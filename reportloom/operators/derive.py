@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reportloom.functions.text import before, ends_with, starts_with, swap
+from reportloom.functions.text import before, ends_with, lowered_ends, starts_with, swap
 
 # The phrases of the report's sentences, and the finding titles that tell which sentence a row holds.
 WIDE_TABLES = "Wide Tables: 35+ cols or > 2000 non-LOB bytes"
@@ -21,8 +19,11 @@ FOREIGN_KEY = r"(?i)^Foreign key \[([^\]]*)\]"
 FOREIGN_KEY_TABLE = r"(?i)^Foreign key \[[^\]]*\] on \[(.*?)\](?:\s|$)"
 
 
-def _swaps(text: Column, *pairs: tuple[str, str]) -> Column:
-    return reduce(lambda done, pair: swap(done, *pair), pairs, text)
+# Words that a sentence drops, one pass each; a bracketed group is what stays of its match.
+WIDE_TABLE_WORDS = r"(?i) total columns with a max possible width of| bytes(?:(\.) )?| columns are LOB types\.$"
+NULLS_WORDS = r"(?i) columns\.| of( )"
+WIDE_CLUSTERED_WORDS = r"(?i) bytes in clustered index| columns with potential size of( )"
+MISSING_INDEX_WORDS = r"(?i) uses?(;)| Impact: |(%);| Avg query cost: "
 
 
 def table_name(more_info: Column, database: Column) -> Column:
@@ -35,27 +36,27 @@ def table_name(more_info: Column, database: Column) -> Column:
     at = F.position(F.lower(marker), F.lower(more_info))
     called = starts_with(more_info, "EXEC dbo.") & (at > 0)
     rest = F.when(called, F.substring(more_info, at + F.length(marker), F.length(more_info))).otherwise(more_info)
-    named = _swaps(rest, ("', @TableName='", "."), ("';", ""))
+    named = F.replace(swap(rest, "', @TableName='", "."), F.lit("';"), F.lit(""))
     return F.when(database.isNotNull(), named)
 
 
 def data_prep(finding: Column, priority: Column, details: Column, usage: Column, table: Column) -> Column:
-    """The numbers of a sentence, stripped of the words around them; empty where a finding has no such sentence."""
+    """The numbers of a sentence without the words around them; empty where a finding has no such sentence.
+
+    ``finding`` is in lower case here and in the functions below.
+    """
     owned = F.replace(details, F.concat(table, F.lit(" has ")), F.lit(""))
-    sized = _swaps(owned, (" total columns with a max possible width of", ""), (" bytes. ", "."), (" bytes", ""))
+    sized = F.regexp_replace(owned, WIDE_TABLE_WORDS, "$1")
     nulls = F.replace(details, F.concat(table, F.lit(" allows null in ")), F.lit(""))
-    wide = ends_with(finding, WIDE_TABLES)
     return (
-        F.when(wide & ends_with(details, "LOB types."), swap(sized, " columns are LOB types."))
-        .when(wide & ~ends_with(details, "LOB types."), F.replace(sized, F.lit("."), F.lit("")))
-        .when(ends_with(finding, ADDICTED_TO_NULLS), _swaps(nulls, (" columns.", ""), (" of ", " ")))
-        .when(ends_with(finding, WIDE_CLUSTERED),
-              _swaps(before(details, ":"), (" bytes in clustered index", ""),
-                     (" columns with potential size of ", " ")))
-        .when((priority == 50) & ends_with(finding, MISSING_INDEX),
-              _swaps(usage, (" uses;", ";"), (" use;", ";"), (" Impact: ", ""), ("%;", "%"),
-                     (" Avg query cost: ", "")))
-        .when((priority == 150) & ends_with(finding, WIDE_INDEXES), before(details, " "))
+        F.when(lowered_ends(finding, WIDE_TABLES),
+               F.when(ends_with(details, "LOB types."), sized).otherwise(F.replace(sized, F.lit("."), F.lit(""))))
+        .when(lowered_ends(finding, ADDICTED_TO_NULLS), F.regexp_replace(nulls, NULLS_WORDS, "$1"))
+        .when(lowered_ends(finding, WIDE_CLUSTERED),
+              F.regexp_replace(before(details, ":"), WIDE_CLUSTERED_WORDS, "$1"))
+        .when((priority == 50) & lowered_ends(finding, MISSING_INDEX),
+              F.regexp_replace(usage, MISSING_INDEX_WORDS, "$1$2"))
+        .when((priority == 150) & lowered_ends(finding, WIDE_INDEXES), before(details, " "))
         .otherwise(""))
 
 
@@ -63,31 +64,38 @@ def object_name(create_tsql: Column, finding: Column, details: Column) -> Column
     """Index, constraint or foreign key name, read up to its closing bracket so that blanks stay in it."""
     return (F.when(starts_with(create_tsql, "CREATE"), F.regexp_extract(create_tsql, CREATED_INDEX, 1))
             .when(create_tsql.ilike("ALTER%CONSTRAINT%"), F.regexp_extract(create_tsql, ADDED_CONSTRAINT, 1))
-            .when(ends_with(finding, UNINDEXED_KEYS), F.regexp_extract(details, FOREIGN_KEY, 1))
+            .when(lowered_ends(finding, UNINDEXED_KEYS), F.regexp_extract(details, FOREIGN_KEY, 1))
             .otherwise(""))
 
 
 def foreign_key_table(table: Column, finding: Column, details: Column) -> Column:
     """Foreign key findings carry no call to read the table from; their sentence names it."""
     named = F.replace(F.regexp_extract(details, FOREIGN_KEY_TABLE, 1), F.lit("]"), F.lit(""))
-    return F.when(ends_with(finding, UNINDEXED_KEYS) & (table == ""), named).otherwise(table)
+    of_key = lowered_ends(finding, UNINDEXED_KEYS)
+    return (F.when(of_key & (table == ""), named)
+            .when(of_key & table.contains("]"), F.replace(before(table, " "), F.lit("]"), F.lit("")))
+            .otherwise(table))
 
 
-def heap_title(finding: Column, priority: Column) -> Column:
+def heap_title(finding: Column, lowered: Column, priority: Column) -> Column:
     """Spells ``Active Heap`` one way."""
-    heap = (priority == 100) & ends_with(finding, "active heap")
+    heap = (priority == 100) & lowered_ends(lowered, "active heap")
     return F.when(heap, swap(finding, "Active heap", "Active Heap")).otherwise(finding)
 
 
 def derive(diagnosis: DataFrame) -> DataFrame:
-    """Adds ``table_name``, ``data_prep`` and ``object_name`` and evens out ``finding``. Narrow, three projections."""
+    """Adds ``table_name``, ``data_prep`` and ``object_name`` and evens out ``finding``. Narrow: projections only.
+
+    The lower-case finding is computed once, in a projection of its own, for the many suffixes it is tested for.
+    """
     c = F.col
     return (
         diagnosis
-        .withColumn("table_name", table_name(c("more_info"), c("database_name")))
+        .withColumns({"table_name": table_name(c("more_info"), c("database_name")), "_finding": F.lower("finding")})
         .withColumns({
-            "data_prep": data_prep(c("finding"), c("priority"), c("details"), c("usage"), c("table_name")),
-            "object_name": object_name(c("create_tsql"), c("finding"), c("details")),
-            "table_name": foreign_key_table(c("table_name"), c("finding"), c("details")),
-            "finding": heap_title(c("finding"), c("priority")),
-        }))
+            "data_prep": data_prep(c("_finding"), c("priority"), c("details"), c("usage"), c("table_name")),
+            "object_name": object_name(c("create_tsql"), c("_finding"), c("details")),
+            "table_name": foreign_key_table(c("table_name"), c("_finding"), c("details")),
+            "finding": heap_title(c("finding"), c("_finding"), c("priority")),
+        })
+        .drop("_finding"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reportloom.functions.text import digits, swap, through
 from reportloom.operators.classify import classify, in_section
-from reportloom.plans.sections import COLLATION, OVERFLOW_ROWS, SECTIONS, Section, overflow_text
+from reportloom.plans.sections import COLLATION, OVERFLOW_ROWS, SECTIONS, Section, overflow_text, printable
 
 TITLE, TEXT, ANCHOR, HEADER, ALIGN = -6, -5, -4, -3, -2
 NUMBER = "decimal(23,4)"  # holds any bigint and every derived decimal
@@ -76,7 +76,7 @@ def data_lines(diagnosis: DataFrame, sections: Sequence[Section] = SECTIONS) ->
 
     keys = [key("numbers", i, NUMBER).alias(name) for i, name in enumerate(NUMBERS)]
     keys += [key("texts", i, "string").alias(name) for i, name in enumerate(TEXTS)]
-    return classify(diagnosis, sections).select(
+    return printable(classify(diagnosis, sections)).select(
         "report_id", "section_no", "section", "priority", *keys, F.col("id").cast("bigint").alias("id"),
         _by_section(sections, lambda s: s.line()).alias("markdown_info"))
 
@@ -106,8 +106,9 @@ def section_report(diagnosis: DataFrame, catalog: DataFrame, section: Section) -
     derived = section.derived()
     base = [c for c in BASE_COLUMNS if not (c == "create_tsql" and "rebuild_tsql" in derived)]
     base += ["data_prep"] if section.data_prep else []
-    data = rows.select("report_id", "priority", *base, *[col.alias(name) for name, col in derived.items()],
-                       F.col("id").cast("bigint").alias("id"), section.line().alias("markdown_info"))
+    data = printable(rows.withColumn("_cells", F.struct(*base))).select(
+        "report_id", "priority", "_cells.*", *[col.alias(name) for name, col in derived.items()],
+        F.col("id").cast("bigint").alias("id"), section.line().alias("markdown_info"))
     counts = (rows.groupBy("report_id").agg(F.count(F.lit(1)).alias("n"))
               .select("report_id", F.lit(section.number).alias("section_no"), F.lit(section.name).alias("section"),
                       "n"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reportloom.functions.text import after_last, before, digits, number, shown, swap, tail, through
 from reportloom.operators import derive
@@ -43,21 +43,29 @@ class Section:
         return "| " + " | ".join({"l": ":----", "r": "----:"}[a] for a in self.align) + " |"
 
     def line(self) -> Column:
-        """A Markdown table row. A NULL cell makes the whole line NULL."""
+        """A Markdown table row over ``printable`` columns. A NULL cell makes the whole line NULL."""
         parts = [F.lit(self.lead)]
         for cell in self.cells():
             parts += [cell, F.lit(" | ")]
         return F.concat(*parts)
 
 
+PRINTED = ("definition", "usage", "size", "table_name", "sample_plan_file")
+
+
+def printable(diagnosis: DataFrame) -> DataFrame:
+    """Cells as a document prints them. The two plans below read them many times, so they are settled first."""
+    return diagnosis.withColumns({name: shown(c(name)) for name in PRINTED})
+
+
 def _many_nc():
     return [c("database_name"), through(c("definition"), " "), digits(through(c("details"), " ")),
-            shown(c("usage")), shown(c("size"))]
+            c("usage"), c("size")]
 
 
 def _keys():
-    return [c("database_name"), through(c("details"), " "), shown(c("definition")), c("secret_columns"),
-            shown(c("usage")), shown(c("size"))]
+    return [c("database_name"), through(c("details"), " "), c("definition"), c("secret_columns"),
+            c("usage"), c("size")]
 
 
 def _impact():
@@ -67,15 +75,15 @@ def _impact():
 
 def _missing():
     script = swap(c("create_tsql"), " WITH (FILLFACTOR=100, ONLINE=?, SORT_IN_TEMPDB=?, DATA_COMPRESSION=?)")
-    return [c("database_name"), shown(c("table_name")), after_last(c("data_prep"), "%"), _impact(),
-            digits(before(c("data_prep"), ";")), shown(c("size")), shown(c("sample_plan_file")), shown(script)]
+    return [c("database_name"), c("table_name"), after_last(c("data_prep"), "%"), _impact(),
+            digits(before(c("data_prep"), ";")), c("size"), c("sample_plan_file"), shown(script)]
 
 
 def _heap(unit: str):
     """A heap and its count; the count keeps its blank and so closes its cell by itself."""
     heap = swap(tail(c("details"), ":"), ".Unknown (0)")
-    return [c("database_name"), heap, shown(c("usage")),
-            F.concat(through(c("details"), unit), F.lit("|"), shown(c("size")))]
+    return [c("database_name"), heap, c("usage"),
+            F.concat(through(c("details"), unit), F.lit("|"), c("size"))]
 
 
 def _heap_count(name: str, unit: str):
@@ -84,28 +92,28 @@ def _heap_count(name: str, unit: str):
 
 def _active_heaps():
     heap = swap(swap(c("details"), "Should this table be a heap? "), ".Unknown (0)")
-    return [c("database_name"), heap, swap(c("finding"), "Self Loathing Indexes: "), shown(c("usage")),
-            shown(c("size"))]
+    return [c("database_name"), heap, swap(c("finding"), "Self Loathing Indexes: "), c("usage"),
+            c("size")]
 
 
 def _heap_nc_pk():
-    return [c("database_name"), through(c("details"), " "), shown(c("definition")), shown(c("usage")),
-            shown(c("size"))]
+    return [c("database_name"), through(c("details"), " "), c("definition"), c("usage"),
+            c("size")]
 
 
 def _index():
-    return [c("database_name"), shown(c("table_name")), c("object_name"), shown(c("usage")), shown(c("size")),
-            shown(c("definition"))]
+    return [c("database_name"), c("table_name"), c("object_name"), c("usage"), c("size"),
+            c("definition")]
 
 
 def _wide_indexes():
-    return [c("database_name"), shown(c("table_name")), c("object_name"), shown(c("usage")), shown(c("size")),
-            c("data_prep"), shown(c("definition"))]
+    return [c("database_name"), c("table_name"), c("object_name"), c("usage"), c("size"),
+            c("data_prep"), c("definition")]
 
 
 def _wide_clustered():
-    return [c("database_name"), shown(c("table_name")), c("object_name"), before(c("data_prep"), " "),
-            after_last(c("data_prep"), " "), shown(c("size")), shown(c("definition"))]
+    return [c("database_name"), c("table_name"), c("object_name"), before(c("data_prep"), " "),
+            after_last(c("data_prep"), " "), c("size"), c("definition")]
 
 
 def _lob_columns():
@@ -117,13 +125,13 @@ def _record_bytes():
 
 
 def _wide_tables():
-    return [c("database_name"), shown(c("table_name")), before(c("data_prep"), " "), _lob_columns(),
-            F.concat(F.lit(" "), _record_bytes()), shown(c("usage")), shown(c("size"))]
+    return [c("database_name"), c("table_name"), before(c("data_prep"), " "), _lob_columns(),
+            F.concat(F.lit(" "), _record_bytes()), c("usage"), c("size")]
 
 
 def _nulls():
-    return [c("database_name"), shown(c("table_name")), after_last(c("data_prep"), " "),
-            before(c("data_prep"), " "), shown(c("usage")), shown(c("size"))]
+    return [c("database_name"), c("table_name"), after_last(c("data_prep"), " "),
+            before(c("data_prep"), " "), c("usage"), c("size")]
 
 
 # Priorities, suffixes, anchors, labels, headings and alignments of the findings document.

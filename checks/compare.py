@@ -18,6 +18,7 @@ def session(cpus: int = 8) -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("reportloom")
              .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -172,7 +172,7 @@ ORACLES: dict[str, str] = {
     "read_documents": f"{D} select report_id, count(*) as n_rows from d group by 1",
     "read_split_rows": "select l_orderkey, l_linenumber from lineitem",
     "shred_counts": f"{D} select report_id, 'page' || lpad(cast(k // {PAGE_KEYS} as varchar), 12, '0') as source_path, "
-                    "count(*) as n_rows, count(*) as last_row, 11 as n_cells from d group by 1, 2",
+                    "count(*) as n_rows, count(*) as last_row, cast(11 as bigint) as n_cells from d group by 1, 2",
     "shred_diagnosis": f"{D} select report_id, {CELLS} from d",
     "shred_lineitem": "select l_orderkey, l_linenumber, l_partkey, nullif(l_returnflag, 'N') as l_returnflag "
                       "from lineitem",
@@ -207,7 +207,7 @@ ORACLES: dict[str, str] = {
     "scalar_text": f"{D} select k, '1,' || (100 + n2) || ' rows' as text_before, '1,' || (100 + n2) || ' ' as "
                    "text_through, '' as text_through_none, n1 || 'MB' as text_after_last, '' || n1 as text_between, "
                    "case when kind = 11 then '' else 'db' || (k % 5) || ''', @SchemaName=''dbo'', @TableName=''T' || k "
-                   "|| ''';' end as text_tail, '1,' || (100 + n2) || ' lines; ' || n1 || 'MB' as swapped, 11 as place, "
+                   "|| ''';' end as text_tail, '1,' || (100 + n2) || ' lines; ' || n1 || 'MB' as swapped, cast(11 as bigint) as place, "
                    "1100 + n2 as n, cast(null as integer) as not_a_number, case when n1 % 4 = 0 then 'x' else "
                    "secret_columns end as shown, lower(finding) as lowered, case when n1 % 4 = 0 then null else 'db' || "
                    "(k % 5) || '.[1 KEY] max' || n2 end as joined from d",
@@ -221,7 +221,7 @@ ORACLES: dict[str, str] = {
     "database_filter": f"{D} select report_id, database_name, count(*) as n_rows from d where k % 5 = 3 group by 1, 2",
     **{f"section_{s.name}": section_sql(s.name) for s in SECTIONS},
     "section_collation": f"{D} select report_id, 'Column Collation Does Not Match Database Collation' as finding, "
-                         "database_name, details, secret_columns, usage, '1' || (100 + n2) as num_rows, "
+                         "database_name, details, secret_columns, usage, '1' || (100 + n2) || ' ' as num_rows, "
                          "'1' || (100 + n2) || ' rows; ' || n1 || 'MB' as size, definition from d where kind = 15",
     "report_full": f"{D} {REPORT}",
     "report_lines": f"{D}, r as ({REPORT}) select report_id, row_number() over (partition by report_id order by "

@@ -196,16 +196,15 @@ def _derivation(kinds: tuple[int, ...] | None, *columns: str) -> Query:
 
 def scalar_text(spark, sf_dir):
     """The text building blocks, one column each."""
-    c = F.col
-    return fx.diagnosis(spark, sf_dir).select(
-        "k", tx.before(c("size"), ";").alias("text_before"), tx.through(c("size"), " ").alias("text_through"),
-        tx.through(c("size"), "#").alias("text_through_none"), tx.after_last(c("size"), " ").alias("text_after_last"),
-        tx.before(tx.after_last(c("size"), "; "), "MB").alias("text_between"),
-        tx.tail(c("more_info"), "=").alias("text_tail"), tx.swap(c("size"), "ROWS", "lines").alias("swapped"),
-        F.locate(";", c("size")).cast("bigint").alias("place"), tx.number(tx.through(c("size"), " "), "bigint")
-        .alias("n"), tx.number(c("secret_columns"), "int").alias("not_a_number"),
-        tx.shown(c("secret_columns")).alias("shown"), F.lower("finding").alias("lowered"),
-        F.concat(c("database_name"), F.lit("."), F.nullif(c("secret_columns"), F.lit(""))).alias("joined"))
+    columns = {
+        "text_before": tx.before("size", ";"), "text_through": tx.through("size", " "),
+        "text_through_none": tx.through("size", "#"), "text_after_last": tx.after_last("size", " "),
+        "text_between": tx.before(tx.after_last("size", "; "), "MB"), "text_tail": tx.tail("more_info", "="),
+        "swapped": tx.swap("size", "ROWS", "lines"), "place": "CAST(locate(';', size) AS bigint)",
+        "n": tx.number(tx.through("size", " "), "bigint"), "not_a_number": tx.number("secret_columns", "int"),
+        "shown": tx.shown("secret_columns"), "lowered": "lower(finding)",
+        "joined": "concat(database_name, '.', nullif(secret_columns, ''))"}
+    return fx.diagnosis(spark, sf_dir).selectExpr("k", *[f"{rule} AS {name}" for name, rule in columns.items()])
 
 
 # ---- classification and counts

@@ -1,62 +1,82 @@
-"""Column expressions for picking text apart. All run inside Catalyst; none is a Python UDF."""
+"""Spark SQL expressions for picking text apart, as text to be put together and handed to ``F.expr``.
+
+Every function takes an expression, a column name in the simplest case, and gives a larger one. A report's lines are
+long expressions; written as SQL they cost one call to build where the Column API makes one for each of their parts.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, functions as F
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def before(text: Column, delimiter: str) -> Column:
+def before(text: str, delimiter: str) -> str:
     """Text before the first delimiter; the whole text where there is none."""
-    return F.substring_index(text, delimiter, 1)
+    return f"substring_index({text}, {literal(delimiter)}, 1)"
 
 
-def after_last(text: Column, delimiter: str) -> Column:
+def after_last(text: str, delimiter: str) -> str:
     """Text after the last delimiter; the whole text where there is none."""
-    return F.substring_index(text, delimiter, -1)
+    return f"substring_index({text}, {literal(delimiter)}, -1)"
 
 
-def through(text: Column, delimiter: str) -> Column:
+def through(text: str, delimiter: str) -> str:
     """Text up to and including the first character of the delimiter; empty where there is none."""
-    return F.left(text, F.locate(delimiter, text))
+    return f"left({text}, locate({literal(delimiter)}, {text}))"
 
 
-def tail(text: Column, delimiter: str) -> Column:
+def tail(text: str, delimiter: str) -> str:
     """Text that starts two characters after the delimiter, so past a colon and its blank."""
-    return text.substr(F.locate(delimiter, text) + 2, F.length(text))
+    return f"substring({text}, locate({literal(delimiter)}, {text}) + 2)"
 
 
-def swap(text: Column, phrase: str, by: str = "") -> Column:
+def swap(text: str, phrase: str, by: str = "") -> str:
     """Replace a literal phrase whatever its case."""
-    return F.regexp_replace(text, "(?i)" + re.escape(phrase), by)
+    return rewrite(text, re.escape(phrase), by.replace("$", "\\$"))
+
+
+def rewrite(text: str, pattern: str, by: str = "") -> str:
+    """Replace a pattern whatever its case; ``$1`` stands for its first group."""
+    return f"regexp_replace({text}, {literal('(?i)' + pattern)}, {literal(by)})"
+
+
+def extract(text: str, pattern: str) -> str:
+    """The first group of a pattern whatever its case; empty where it does not match."""
+    return f"regexp_extract({text}, {literal('(?i)' + pattern)}, 1)"
+
+
+def drop(text: str, part: str) -> str:
+    """Remove a text that may itself be an expression."""
+    return f"replace({text}, {part}, '')"
 
 
-def digits(text: Column) -> Column:
+def digits(text: str) -> str:
     """A count as written, without thousands separators and outer blanks."""
-    return F.replace(F.trim(text), F.lit(","), F.lit(""))
+    return drop(f"trim({text})", "','")
 
 
-def number(text: Column, type_: str) -> Column:
+def number(text: str, type_: str) -> str:
     """A count as a number; NULL where the text is none or does not fit the type."""
-    return digits(text).try_cast(type_)
+    return cast_to(digits(text), type_)
 
 
-def ends_with(text: Column, suffix: str) -> Column:
-    """Suffix match whatever the case."""
-    return F.endswith(F.lower(text), F.lit(suffix.lower()))
+def cast_to(text: str, type_: str) -> str:
+    return f"try_cast({text} AS {type_})"
 
 
-def lowered_ends(lowered: Column, suffix: str) -> Column:
-    """Suffix match on text that is in lower case already."""
-    return F.endswith(lowered, F.lit(suffix.lower()))
+def ends_with(text: str, suffix: str, lowered: bool = False) -> str:
+    """Suffix match whatever the case; ``lowered`` says that the text is in lower case already."""
+    return f"endswith({text if lowered else f'lower({text})'}, {literal(suffix.lower())})"
 
 
-def starts_with(text: Column, prefix: str) -> Column:
+def starts_with(text: str, prefix: str) -> str:
     """Prefix match whatever the case."""
-    return F.startswith(F.lower(text), F.lit(prefix.lower()))
+    return f"startswith(lower({text}), {literal(prefix.lower())})"
 
 
-def shown(text: Column) -> Column:
+def shown(text: str) -> str:
     """An empty cell is printed as ``x``; a missing one stays NULL and so blanks its whole line."""
-    return F.when(text == "", "x").otherwise(text)
+    return f"if({text} = '', 'x', {text})"

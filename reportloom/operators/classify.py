@@ -6,25 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reportloom.functions.text import ends_with
+from reportloom.functions.text import ends_with, literal
 from reportloom.plans.sections import COLLATION, SECTIONS, Section
 
 ALL_SECTIONS = (*SECTIONS, COLLATION)
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def section_table(spark, sections: Sequence[Section] = ALL_SECTIONS) -> DataFrame:
     """``section, section_no, section_priority, suffix``: one row per section, written in the query itself."""
-    rows = ", ".join(f"({_literal(s.name)}, {s.number}, {s.priority}, {_literal(s.suffix.lower())})" for s in sections)
+    rows = ", ".join(f"({literal(s.name)}, {s.number}, {s.priority}, {literal(s.suffix.lower())})" for s in sections)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS s(section, section_no, section_priority, suffix)")
 
 
 def in_section(section: Section) -> Column:
     """The section's own predicate; its priority half reaches the scan."""
-    return (F.col("priority") == section.priority) & ends_with(F.col("finding"), section.suffix)
+    return F.expr(f"priority = {section.priority} AND {ends_with('finding', section.suffix)}")
 
 
 def classify(df: DataFrame, sections: Sequence[Section] = ALL_SECTIONS) -> DataFrame:
@@ -34,6 +30,5 @@ def classify(df: DataFrame, sections: Sequence[Section] = ALL_SECTIONS) -> DataF
     and the suffix is checked on the few sections that share it.
     """
     table = section_table(df.sparkSession, sections)
-    matched = ((F.col("priority") == F.col("section_priority"))
-               & F.endswith(F.lower("finding"), F.col("suffix")))
+    matched = F.expr("priority = section_priority AND endswith(lower(finding), suffix)")
     return df.join(F.broadcast(table), matched).drop("section_priority", "suffix")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from reportloom.functions.text import before, ends_with, lowered_ends, starts_with, swap
+from reportloom.functions.text import before, drop, ends_with, extract, literal, rewrite, starts_with, swap
 
 # The phrases of the report's sentences, and the finding titles that tell which sentence a row holds.
 WIDE_TABLES = "Wide Tables: 35+ cols or > 2000 non-LOB bytes"
@@ -13,74 +13,73 @@ WIDE_CLUSTERED = "Wide Clustered Index (> 3 columns OR > 16 bytes)"
 MISSING_INDEX = "High Value Missing Index"
 WIDE_INDEXES = "Wide Indexes (7 or More Columns)"
 UNINDEXED_KEYS = "Unindexed Foreign Keys"
-CREATED_INDEX = r"(?i)^CREATE [A-Z ]*INDEX \[([^\]]*)\]"
-ADDED_CONSTRAINT = r"(?i)^ALTER .*? ADD CONSTRAINT \[([^\]]*)\]"
-FOREIGN_KEY = r"(?i)^Foreign key \[([^\]]*)\]"
-FOREIGN_KEY_TABLE = r"(?i)^Foreign key \[[^\]]*\] on \[(.*?)\](?:\s|$)"
-
+CREATED_INDEX = r"^CREATE [A-Z ]*INDEX \[([^\]]*)\]"
+ADDED_CONSTRAINT = r"^ALTER .*? ADD CONSTRAINT \[([^\]]*)\]"
+FOREIGN_KEY = r"^Foreign key \[([^\]]*)\]"
+FOREIGN_KEY_TABLE = r"^Foreign key \[[^\]]*\] on \[(.*?)\](?:\s|$)"
 
 # Words that a sentence drops, one pass each; a bracketed group is what stays of its match.
-WIDE_TABLE_WORDS = r"(?i) total columns with a max possible width of| bytes(?:(\.) )?| columns are LOB types\.$"
-NULLS_WORDS = r"(?i) columns\.| of( )"
-WIDE_CLUSTERED_WORDS = r"(?i) bytes in clustered index| columns with potential size of( )"
-MISSING_INDEX_WORDS = r"(?i) uses?(;)| Impact: |(%);| Avg query cost: "
+WIDE_TABLE_WORDS = r" total columns with a max possible width of| bytes(?:(\.) )?| columns are LOB types\.$"
+NULLS_WORDS = r" columns\.| of( )"
+WIDE_CLUSTERED_WORDS = r" bytes in clustered index| columns with potential size of( )"
+MISSING_INDEX_WORDS = r" uses?(;)| Impact: |(%);| Avg query cost: "
 
 
-def table_name(more_info: Column, database: Column) -> Column:
+def table_name(more_info: str = "more_info", database: str = "database_name") -> str:
     """``schema.table`` out of the call that shows more about a table, whichever procedure it calls.
 
     The call names the row's own database, so the text to cut at is built per row. Where the database differs the
     call's start stays in place.
     """
-    marker = F.concat(F.lit("@DatabaseName='"), database, F.lit("', @SchemaName='"))
-    at = F.position(F.lower(marker), F.lower(more_info))
-    called = starts_with(more_info, "EXEC dbo.") & (at > 0)
-    rest = F.when(called, F.substring(more_info, at + F.length(marker), F.length(more_info))).otherwise(more_info)
-    named = F.replace(swap(rest, "', @TableName='", "."), F.lit("';"), F.lit(""))
-    return F.when(database.isNotNull(), named)
+    marker = f"concat({literal("@DatabaseName='")}, {database}, {literal("', @SchemaName='")})"
+    at = f"locate(lower({marker}), lower({more_info}))"
+    called = f"{starts_with(more_info, 'EXEC dbo.')} AND {at} > 0"
+    rest = f"if({called}, substring({more_info}, {at} + length({marker})), {more_info})"
+    named = drop(swap(rest, "', @TableName='", "."), literal("';"))
+    return f"if({database} IS NULL, NULL, {named})"
 
 
-def data_prep(finding: Column, priority: Column, details: Column, usage: Column, table: Column) -> Column:
+def data_prep(finding: str) -> str:
     """The numbers of a sentence without the words around them; empty where a finding has no such sentence.
 
     ``finding`` is in lower case here and in the functions below.
     """
-    owned = F.replace(details, F.concat(table, F.lit(" has ")), F.lit(""))
-    sized = F.regexp_replace(owned, WIDE_TABLE_WORDS, "$1")
-    nulls = F.replace(details, F.concat(table, F.lit(" allows null in ")), F.lit(""))
-    return (
-        F.when(lowered_ends(finding, WIDE_TABLES),
-               F.when(ends_with(details, "LOB types."), sized).otherwise(F.replace(sized, F.lit("."), F.lit(""))))
-        .when(lowered_ends(finding, ADDICTED_TO_NULLS), F.regexp_replace(nulls, NULLS_WORDS, "$1"))
-        .when(lowered_ends(finding, WIDE_CLUSTERED),
-              F.regexp_replace(before(details, ":"), WIDE_CLUSTERED_WORDS, "$1"))
-        .when((priority == 50) & lowered_ends(finding, MISSING_INDEX),
-              F.regexp_replace(usage, MISSING_INDEX_WORDS, "$1$2"))
-        .when((priority == 150) & lowered_ends(finding, WIDE_INDEXES), before(details, " "))
-        .otherwise(""))
-
-
-def object_name(create_tsql: Column, finding: Column, details: Column) -> Column:
+    sized = rewrite(drop("details", "concat(table_name, ' has ')"), WIDE_TABLE_WORDS, "$1")
+    nulls = drop("details", "concat(table_name, ' allows null in ')")
+    return f"""CASE
+        WHEN {ends_with(finding, WIDE_TABLES, True)}
+            THEN if({ends_with("details", "LOB types.")}, {sized}, {drop(sized, "'.'")})
+        WHEN {ends_with(finding, ADDICTED_TO_NULLS, True)} THEN {rewrite(nulls, NULLS_WORDS, "$1")}
+        WHEN {ends_with(finding, WIDE_CLUSTERED, True)}
+            THEN {rewrite(before("details", ":"), WIDE_CLUSTERED_WORDS, "$1")}
+        WHEN priority = 50 AND {ends_with(finding, MISSING_INDEX, True)}
+            THEN {rewrite("usage", MISSING_INDEX_WORDS, "$1$2")}
+        WHEN priority = 150 AND {ends_with(finding, WIDE_INDEXES, True)} THEN {before("details", " ")}
+        ELSE '' END"""
+
+
+def object_name(finding: str) -> str:
     """Index, constraint or foreign key name, read up to its closing bracket so that blanks stay in it."""
-    return (F.when(starts_with(create_tsql, "CREATE"), F.regexp_extract(create_tsql, CREATED_INDEX, 1))
-            .when(create_tsql.ilike("ALTER%CONSTRAINT%"), F.regexp_extract(create_tsql, ADDED_CONSTRAINT, 1))
-            .when(lowered_ends(finding, UNINDEXED_KEYS), F.regexp_extract(details, FOREIGN_KEY, 1))
-            .otherwise(""))
+    return f"""CASE
+        WHEN {starts_with("create_tsql", "CREATE")} THEN {extract("create_tsql", CREATED_INDEX)}
+        WHEN create_tsql ILIKE 'ALTER%CONSTRAINT%' THEN {extract("create_tsql", ADDED_CONSTRAINT)}
+        WHEN {ends_with(finding, UNINDEXED_KEYS, True)} THEN {extract("details", FOREIGN_KEY)}
+        ELSE '' END"""
 
 
-def foreign_key_table(table: Column, finding: Column, details: Column) -> Column:
+def foreign_key_table(finding: str) -> str:
     """Foreign key findings carry no call to read the table from; their sentence names it."""
-    named = F.replace(F.regexp_extract(details, FOREIGN_KEY_TABLE, 1), F.lit("]"), F.lit(""))
-    of_key = lowered_ends(finding, UNINDEXED_KEYS)
-    return (F.when(of_key & (table == ""), named)
-            .when(of_key & table.contains("]"), F.replace(before(table, " "), F.lit("]"), F.lit("")))
-            .otherwise(table))
+    of_key = ends_with(finding, UNINDEXED_KEYS, True)
+    return f"""CASE
+        WHEN {of_key} AND table_name = '' THEN {drop(extract("details", FOREIGN_KEY_TABLE), "']'")}
+        WHEN {of_key} AND contains(table_name, ']') THEN {drop(before("table_name", " "), "']'")}
+        ELSE table_name END"""
 
 
-def heap_title(finding: Column, lowered: Column, priority: Column) -> Column:
+def heap_title(finding: str) -> str:
     """Spells ``Active Heap`` one way."""
-    heap = (priority == 100) & lowered_ends(lowered, "active heap")
-    return F.when(heap, swap(finding, "Active heap", "Active Heap")).otherwise(finding)
+    heap = f"priority = 100 AND {ends_with(finding, 'active heap', True)}"
+    return f"if({heap}, {swap('finding', 'Active heap', 'Active Heap')}, finding)"
 
 
 def derive(diagnosis: DataFrame) -> DataFrame:
@@ -88,14 +87,10 @@ def derive(diagnosis: DataFrame) -> DataFrame:
 
     The lower-case finding is computed once, in a projection of its own, for the many suffixes it is tested for.
     """
-    c = F.col
     return (
         diagnosis
-        .withColumns({"table_name": table_name(c("more_info"), c("database_name")), "_finding": F.lower("finding")})
-        .withColumns({
-            "data_prep": data_prep(c("_finding"), c("priority"), c("details"), c("usage"), c("table_name")),
-            "object_name": object_name(c("create_tsql"), c("_finding"), c("details")),
-            "table_name": foreign_key_table(c("table_name"), c("_finding"), c("details")),
-            "finding": heap_title(c("finding"), c("_finding"), c("priority")),
-        })
+        .withColumns({"table_name": F.expr(table_name()), "_finding": F.lower("finding")})
+        .withColumns({name: F.expr(rule("_finding")) for name, rule in (
+            ("data_prep", data_prep), ("object_name", object_name), ("table_name", foreign_key_table),
+            ("finding", heap_title))})
         .drop("_finding"))

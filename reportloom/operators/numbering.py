@@ -22,11 +22,12 @@ def _sum_before(within: Sequence[str | Column], order: Sequence[str | Column]) -
 
 
 def with_row_id(df: DataFrame, within: Sequence[str], order: Sequence[str], position: Sequence[str],
-                name: str = "id", chunk: int = 100_000) -> DataFrame:
+                name: str = "id", chunk: int = 2_000_000) -> DataFrame:
     """Numbers the rows of each ``within`` group by ``order``, then by ``position``.
 
-    The last ``position`` column must be a running whole number, such as the place of a row in its report. Cutting
-    that range into chunks bounds every piece by ``chunk`` rows however many rows share a group and an order key.
+    The last ``position`` column must be a running whole number, such as the place of a row in its file: its row
+    number, or its byte offset where a large file is read in pieces. Cutting that range into chunks bounds every piece
+    by ``chunk`` rows however many rows share a group and an order key.
     Rows are shuffled once, on the piece; the counts are combined before their own, small shuffle. Pieces are equal
     when all their columns are, NULL included, since a struct compares whole.
     """

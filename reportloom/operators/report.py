@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reportloom.functions.text import digits, swap, through
+from reportloom.functions.text import drop, literal, swap, through
 from reportloom.operators.classify import classify, in_section
 from reportloom.plans.sections import COLLATION, OVERFLOW_ROWS, SECTIONS, Section, overflow_text, printable
 
@@ -39,15 +39,8 @@ def section_titles(catalog: DataFrame, sections: Sequence[Section] = SECTIONS) -
     return classify(catalog, sections).groupBy("section").agg(F.sort_array(F.collect_set(pair)).alias("titles"))
 
 
-def _by_section(sections: Sequence[Section], value) -> Column:
-    chosen = F
-    for section in sections:
-        chosen = chosen.when(F.col("section") == section.name, value(section))
-    return chosen
-
-
-def _entry(priority: int, text: Column) -> Column:
-    return F.struct(F.lit(priority).alias("priority"), text.alias("markdown_info"))
+def _by_section(sections: Sequence[Section], value) -> str:
+    return "CASE section " + " ".join(f"WHEN {literal(s.name)} THEN {value(s)}" for s in sections) + " END"
 
 
 def preamble(counts: DataFrame, catalog: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
@@ -55,34 +48,38 @@ def preamble(counts: DataFrame, catalog: DataFrame, sections: Sequence[Section]
 
     A section without catalog rows keeps its last three lines.
     """
-    titles = F.coalesce("titles", F.array().cast("array<struct<short_title:string,description:string>>"))
-    anchor = F.when(F.col("n") > OVERFLOW_ROWS, _by_section(sections, lambda s: F.lit(overflow_text(s)))).otherwise("")
-    lines = F.concat(
-        F.transform(titles, lambda t: _entry(TITLE, F.concat(F.lit(" "), t["short_title"]))),
-        F.transform(titles, lambda t: _entry(TEXT, t["description"])),
-        F.array(_entry(ANCHOR, anchor), _entry(HEADER, _by_section(sections, lambda s: F.lit(s.heading))),
-                _entry(ALIGN, _by_section(sections, lambda s: F.lit(s.alignment)))))
+    def line(priority: int, text: str) -> str:
+        return f"named_struct('priority', {priority}, 'markdown_info', {text})"
+
+    anchor = f"if(n > {OVERFLOW_ROWS}, {_by_section(sections, lambda s: literal(overflow_text(s)))}, '')"
+    fixed = [line(ANCHOR, anchor), line(HEADER, _by_section(sections, lambda s: literal(s.heading))),
+             line(ALIGN, _by_section(sections, lambda s: literal(s.alignment)))]
+    titles = "coalesce(titles, array())"
+    lines = F.expr(f"concat(transform({titles}, t -> {line(TITLE, "concat(' ', t.short_title)")}), "
+                   f"transform({titles}, t -> {line(TEXT, 't.description')}), array({', '.join(fixed)}))")
     joined = counts.join(F.broadcast(section_titles(catalog, sections)), "section", "left")
     return joined.select("report_id", "section_no", "section", F.inline(lines))
 
 
 def data_lines(diagnosis: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
     """One Markdown line per finding with the section's sort keys, in one projection over one scan."""
-    def key(names, index, type_):
+    def key(names: str, index: int, type_: str) -> str:
         used = [s for s in sections if len(getattr(s, names)) > index]
         if not used:
-            return F.lit(None).cast(type_)
-        return _by_section(used, lambda s: _column(s, getattr(s, names)[index]).cast(type_))
+            return f"CAST(NULL AS {type_})"
+        return f"CAST({_by_section(used, lambda s: _column(s, getattr(s, names)[index]))} AS {type_})"
 
-    keys = [key("numbers", i, NUMBER).alias(name) for i, name in enumerate(NUMBERS)]
-    keys += [key("texts", i, "string").alias(name) for i, name in enumerate(TEXTS)]
-    return printable(classify(diagnosis, sections)).select(
-        "report_id", "section_no", "section", "priority", *keys, F.col("id").cast("bigint").alias("id"),
-        _by_section(sections, lambda s: s.line()).alias("markdown_info"))
+    keys = [f"{key('numbers', i, NUMBER)} AS {name}" for i, name in enumerate(NUMBERS)]
+    keys += [f"{key('texts', i, 'string')} AS {name}" for i, name in enumerate(TEXTS)]
+    return printable(classify(diagnosis, sections)).selectExpr(
+        "report_id", "section_no", "section", "priority", *keys, "CAST(id AS bigint) AS id",
+        f"{_by_section(sections, lambda s: s.line())} AS markdown_info")
 
 
-def _column(section: Section, name: str) -> Column:
-    return section.derived().get(name, F.col(name))
+def _column(section: Section, name: str) -> str:
+    """A sort column, numbers at the one scale that all sections share."""
+    column = section.derived().get(name, name)
+    return f"CAST({column} AS {NUMBER})" if name in section.numbers else column
 
 
 def findings_report(diagnosis: DataFrame, catalog: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
@@ -106,9 +103,9 @@ def section_report(diagnosis: DataFrame, catalog: DataFrame, section: Section) -
     derived = section.derived()
     base = [c for c in BASE_COLUMNS if not (c == "create_tsql" and "rebuild_tsql" in derived)]
     base += ["data_prep"] if section.data_prep else []
-    data = printable(rows.withColumn("_cells", F.struct(*base))).select(
-        "report_id", "priority", "_cells.*", *[col.alias(name) for name, col in derived.items()],
-        F.col("id").cast("bigint").alias("id"), section.line().alias("markdown_info"))
+    data = printable(rows.withColumn("_cells", F.struct(*base))).selectExpr(
+        "report_id", "priority", "_cells.*", *[f"{rule} AS {name}" for name, rule in derived.items()],
+        "CAST(id AS bigint) AS id", f"{section.line()} AS markdown_info")
     counts = (rows.groupBy("report_id").agg(F.count(F.lit(1)).alias("n"))
               .select("report_id", F.lit(section.number).alias("section_no"), F.lit(section.name).alias("section"),
                       "n"))
@@ -124,8 +121,7 @@ def section_order(section: Section) -> list[Column]:
 
 def collation_rows(diagnosis: DataFrame) -> DataFrame:
     """Columns whose collation differs from their database's: a plain list without heading lines."""
-    c = F.col
-    return diagnosis.where(in_section(COLLATION)).select(
-        "report_id", swap(c("finding"), "Abnormal Psychology: ").alias("finding"), "database_name", "details",
-        "secret_columns", "usage", digits(through(c("size"), " ")).alias("num_rows"),
-        F.replace(c("size"), F.lit(","), F.lit("")).alias("size"), "definition")
+    return diagnosis.where(in_section(COLLATION)).selectExpr(
+        "report_id", f"{swap('finding', 'Abnormal Psychology: ')} AS finding", "database_name", "details",
+        "secret_columns", "usage", f"{drop(through('size', ' '), "','")} AS num_rows", "replace(size, ',', '') AS size",
+        "definition")

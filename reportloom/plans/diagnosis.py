@@ -22,17 +22,18 @@ def diagnosis_rows(split: DataFrame, databases: str | None = None) -> DataFrame:
     rows = typed(sound, DIAGNOSIS_FIELDS, [c for c in ORIGIN if c in split.columns], empty_as_null=False)
     if databases is None:
         return rows
-    return rows.where(starts_with(F.col("database_name"), databases) | F.col("problem").isNotNull())
+    return rows.where(f"{starts_with('database_name', databases)} OR problem IS NOT NULL")
 
 
 def prepared(rows: DataFrame) -> DataFrame:
-    """Derived fields, then a number per report in priority and finding order, ties in document order.
+    """Derived fields, and a number per report in priority and finding order, ties in document order.
 
-    The number follows the findings as the report spells them, before ``Active Heap`` is evened out.
+    The number follows the findings as the report spells them, before ``Active Heap`` is evened out. Rows with a
+    problem sort behind the sound ones and get none.
     """
-    numbered = with_row_id(rows, within=["report_id"], order=["priority", "finding"],
+    numbered = with_row_id(rows, within=["report_id"], order=["problem", "priority", "finding"],
                            position=["source_path", "row_pos"])
-    return derive(numbered)
+    return derive(numbered.withColumn("id", F.when(F.col("problem").isNull(), F.col("id"))))
 
 
 def load_diagnosis(spark: SparkSession, path: str, table: str, load_id: str, databases: str | None = None,

@@ -48,7 +48,8 @@ def _plain_heading(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"<[^>]*>|&[A-Za-z0-9#]+;|[^A-Za-z0-9]", ""))
 
 
-def _same_headings(first_row: Column, fields: Sequence[Field]) -> Column:
+def same_headings(first_row: Column, fields: Sequence[Field]) -> Column:
+    """Whether a heading row names the fields in their order; case, blanks, marks and inner markup do not matter."""
     wanted = "|".join("".join(ch for ch in f.title if ch.isascii() and ch.isalnum()).lower() for f in fields)
     found = F.transform(F.regexp_extract_all(first_row, F.lit(HEADING), F.lit(1)), _plain_heading)
     return F.array_join(found, "|") == wanted
@@ -76,7 +77,7 @@ def shred_rows(docs: DataFrame, html: str = "html", fields: Sequence[Field] | No
     in_table = F.when(F.lower(first).contains("<table"), F.col("_pieces"))
     if fields is not None:
         pieces = pieces.select(*kept, "table_pos", in_table.alias("_pieces"),
-                               _same_headings(first, fields).alias("header_ok"))
+                               same_headings(first, fields).alias("header_ok"))
         kept = [*kept, "header_ok"]
     else:
         pieces = pieces.select(*kept, "table_pos", in_table.alias("_pieces"))

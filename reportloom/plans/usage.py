@@ -32,13 +32,15 @@ def usage_rows(split: DataFrame) -> DataFrame:
 
 
 def read_split(spark: SparkSession, path: str, fields: tuple[Field, ...], check_headings: bool = True,
-               size_limit: int = WHOLE_FILE_LIMIT, **reading) -> DataFrame:
-    """Rows with cells of all files under a path. Files above the limit are read row by row, headings unchecked."""
-    whole = shredded(read_reports(spark, path, size_limit=size_limit, **reading), fields, check_headings)
-    large = large_files(spark, path, size_limit=size_limit)
+               size_limit: int = WHOLE_FILE_LIMIT, glob: str = "*.html", id_pattern: str | None = None) -> DataFrame:
+    """Rows with cells of all files under a path; files above the limit are read row by row."""
+    docs = read_reports(spark, path, glob, id_pattern, size_limit)
+    whole = shredded(docs, fields, check_headings)
+    large = large_files(spark, path, glob, size_limit)
     if not large:
         return whole
-    return whole.unionByName(checked(read_report_rows(spark, large)), allowMissingColumns=True)
+    rows = read_report_rows(spark, large, id_pattern, fields=fields if check_headings else None)
+    return whole.unionByName(checked(rows), allowMissingColumns=True)
 
 
 def load_usage(spark: SparkSession, path: str, table: str, load_id: str, location: str | None = None,

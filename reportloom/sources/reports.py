@@ -2,58 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from reportloom.operators.markup import same_headings
 from reportloom.operators.numbering import BROADCAST_ROWS
+from reportloom.schema import Field
 
 # A larger file is read row by row. A whole document must fit one task's memory several times over.
 WHOLE_FILE_LIMIT = 256 * 1024 * 1024
-PATH_ID = r"([^/]+)\.html?$"
+FILE_NAME = r"([^/]+)\.html?$"
+FOLDER_NAME = r"([^/]+)/[^/]*$"
+
 
+def report_id_of(path: Column, pattern: str | None) -> Column:
+    """The report id a path holds, by the pattern's first group; the path itself where there is none.
 
-def report_id_of(path: Column, pattern: str = PATH_ID) -> Column:
-    """The report id a path holds, by the pattern's first group; the path itself where the pattern finds none."""
+    Report files of different servers often share a name, so only the whole path is unique without knowing more.
+    """
+    if pattern is None:
+        return path
     found = F.regexp_extract(path, pattern, 1)
     return F.when(found == "", path).otherwise(found)
 
 
-def _reader(source, glob: str):
+def html_files(source, glob: str):
     return source.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
 
 
-def read_reports(spark: SparkSession, path: str | list[str], glob: str = "*.html", id_pattern: str = PATH_ID,
+def read_reports(spark: SparkSession, path: str | list[str], glob: str = "*.html", id_pattern: str | None = None,
                  size_limit: int | None = None) -> DataFrame:
     """``report_id, source_path, html``, one row per file under a folder, a glob or a list of them.
 
     ``size_limit`` leaves larger files to ``read_report_rows``; the scan checks it before it opens a file.
     """
-    files = _reader(spark.read, glob).load(path)
+    files = html_files(spark.read, glob).load(path)
     if size_limit is not None:
         files = files.where(F.col("length") <= size_limit)
     return documents(files, id_pattern)
 
 
-def documents(files: DataFrame, id_pattern: str = PATH_ID) -> DataFrame:
-    """Binary file rows, batch or streaming, to documents."""
+def documents(files: DataFrame, id_pattern: str | None = None) -> DataFrame:
+    """Binary file rows, batch or streaming, to documents.
+
+    UTF-8 unless a byte order mark says UTF-16. A stray byte is replaced, so that it does not fail the whole load.
+    """
+    wide = F.hex(F.substring("content", 1, 2)).isin("FFFE", "FEFF")
     return files.select(report_id_of(F.col("path"), id_pattern).alias("report_id"),
                         F.col("path").alias("source_path"),
-                        F.decode("content", "UTF-8").alias("html"))
+                        F.when(wide, F.decode("content", "UTF-16"))
+                        .otherwise(F.make_valid_utf8(F.col("content").cast("string"))).alias("html"))
 
 
 def large_files(spark: SparkSession, path: str | list[str], glob: str = "*.html",
                 size_limit: int = WHOLE_FILE_LIMIT) -> list[str]:
     """Paths of the files above the limit. Reads the listing only; the list is bounded by total size over limit."""
-    files = _reader(spark.read, glob).load(path).where(F.col("length") > size_limit).select("path")
+    files = html_files(spark.read, glob).load(path).where(F.col("length") > size_limit).select("path")
     return [row.path for row in files.collect()]
 
 
-def read_report_rows(spark: SparkSession, path: str | list[str], id_pattern: str = PATH_ID,
-                     row_end: str = "</tr>", all_tables: bool = False) -> DataFrame:
-    """``report_id, source_path, row_pos, tr`` for files of any size; the first table only unless ``all_tables``.
+def read_report_rows(spark: SparkSession, path: str | list[str], id_pattern: str | None = None,
+                     row_end: str = "</tr>", fields: Sequence[Field] | None = None,
+                     all_tables: bool = False) -> DataFrame:
+    """``report_id, source_path, row_pos, tr`` for UTF-8 files of any size; the first table only unless ``all_tables``.
 
     The text source cuts at the row end tag, so one file is read by many tasks. A row that a table start precedes is
-    that table's heading row and is left out. A row's place is its block's start plus its order within the block: it
-    grows along the file and leaves gaps, which numbering by ``row_pos`` allows.
+    that table's heading row and is left out; with ``fields``, ``header_ok`` says whether the first one names them. A
+    row's place is its block's start plus its order within the block: it grows along the file and leaves gaps, which
+    numbering by ``row_pos`` allows.
     """
     lines = (spark.read.option("lineSep", row_end).text(path)
              .select(F.col("_metadata.file_path").alias("source_path"),
@@ -61,16 +78,19 @@ def read_report_rows(spark: SparkSession, path: str | list[str], id_pattern: str
                               F.monotonically_increasing_id().alias("line")).alias("_at"),
                      F.col("value")))
     starts, ends = F.col("value").rlike(r"(?i)<table\b"), F.col("value").rlike(r"(?i)</table\b")
-    rows = lines.where(F.col("value").rlike(r"(?i)<tr\b") & ~starts)
+    rows, extra = lines.where(F.col("value").rlike(r"(?i)<tr\b") & ~starts), []
     if not all_tables:
         # Where a file's first table starts, and where the text after its last row is; one row per file.
-        bounds = (lines.where(starts | ends).groupBy("source_path")
-                  .agg(F.min(F.when(starts, F.col("_at"))).alias("_start"),
-                       F.min(F.when(ends, F.col("_at"))).alias("_end")))
-        if bounds.count() <= BROADCAST_ROWS:
-            bounds = F.broadcast(bounds)
-        rows = rows.join(bounds, "source_path").where(
+        start = F.when(starts, F.col("_at"))
+        bounds = [F.min(start).alias("_start"), F.min(F.when(ends, F.col("_at"))).alias("_end")]
+        if fields is not None:
+            bounds.append(F.min_by(same_headings(F.col("value"), fields), start).alias("header_ok"))
+            extra = ["header_ok"]
+        per_file = lines.where(starts | ends).groupBy("source_path").agg(*bounds)
+        if per_file.count() <= BROADCAST_ROWS:
+            per_file = F.broadcast(per_file)
+        rows = rows.join(per_file, "source_path").where(
             (F.col("_at") > F.col("_start")) & (F.col("_end").isNull() | (F.col("_at") < F.col("_end"))))
-    return rows.select(report_id_of(F.col("source_path"), id_pattern).alias("report_id"), "source_path",
+    return rows.select(report_id_of(F.col("source_path"), id_pattern).alias("report_id"), "source_path", *extra,
                        (F.col("_at.block") + F.col("_at.line") % (1 << 33)).alias("row_pos"),
                        F.concat(F.regexp_extract("value", r"(?is)(<tr\b.*)", 1), F.lit(row_end)).alias("tr"))

@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from reportloom.sources.reports import PATH_ID, _reader, documents
+from reportloom.sources.reports import html_files, documents
 from reportloom.sources.tables import ensure_table, replace_load
 
 
-def arriving_reports(spark: SparkSession, path: str, glob: str = "*.html", id_pattern: str = PATH_ID,
+def arriving_reports(spark: SparkSession, path: str, glob: str = "*.html", id_pattern: str | None = None,
                      files_per_batch: int = 10_000) -> DataFrame:
     """``report_id, source_path, html`` of files as they appear under a folder."""
     source = spark.readStream.schema("path string, modificationTime timestamp, length long, content binary")
-    return documents(_reader(source, glob).option("maxFilesPerTrigger", files_per_batch).load(path), id_pattern)
+    return documents(html_files(source, glob).option("maxFilesPerTrigger", files_per_batch).load(path), id_pattern)
 
 
 def load_arrivals(docs: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str, ddl: str,

@@ -4,7 +4,7 @@ from reportloom.plans import diagnosis as dg, usage as us
 from reportloom.schema import DIAGNOSIS_FIELDS, DIAGNOSIS_TABLE_DDL, USAGE_FIELDS, USAGE_TABLE_DDL
 from reportloom.sources import tables
 from reportloom.sources.catalog import seed_catalog
-from reportloom.sources.reports import read_report_rows, read_reports
+from reportloom.sources.reports import FILE_NAME, FOLDER_NAME, read_report_rows, read_reports
 from reportloom.sources.scratch import scratch_dir
 from reportloom.streaming.arrivals import arriving_reports, load_arrivals
 
@@ -31,13 +31,25 @@ def reports(tmp_path):
 
 
 def test_files(spark, reports):
-    found = {r.report_id: r.html for r in read_reports(spark, reports).collect()}
+    found = {r.report_id: r.html for r in read_reports(spark, reports, id_pattern=FILE_NAME).collect()}
     assert set(found) == {"monday", "wednesday"} and "café" in found["monday"]
+    assert {r.report_id for r in read_reports(spark, reports, id_pattern=FOLDER_NAME).collect()} == {"in", "deep"}
+    assert {r.report_id.rsplit("/", 2)[1] for r in read_reports(spark, reports).collect()} == {"in", "deep"}
+
+
+def test_encodings(spark, tmp_path):
+    text = html(DIAGNOSIS_FIELDS, finding(1, "é"))
+    (tmp_path / "a.html").write_bytes(text.encode("utf-8-sig"))
+    (tmp_path / "b.html").write_bytes(text.encode("utf-16"))
+    (tmp_path / "c.html").write_bytes(text.encode("utf-8").replace("é".encode(), b"\xff"))
+    rows = us.shredded(read_reports(spark, str(tmp_path), id_pattern=FILE_NAME), DIAGNOSIS_FIELDS).collect()
+    assert {(r.report_id, r.cells[1], r.problem) for r in rows} == {
+        ("a", "é", None), ("b", "é", None), ("c", "\ufffd", None)}
 
 
 def test_diagnosis_load(spark, reports, tmp_path):
     for _ in range(2):
-        dg.load_diagnosis(spark, reports, "diagnosis_load", "week1", location=str(tmp_path / "t"))
+        dg.load_diagnosis(spark, reports, "diagnosis_load", "week1", id_pattern=FILE_NAME, location=str(tmp_path / "t"))
     table = spark.table("diagnosis_load")
     sound = us.sound_rows(table).orderBy("id").collect()
     assert [(r.id, r.priority, r.finding, r.details) for r in sound] == [
@@ -45,7 +57,7 @@ def test_diagnosis_load(spark, reports, tmp_path):
     assert {(r.report_id, r.problem, r.row_pos) for r in us.quarantined(table).collect()} == {
         ("monday", "malformed row", 2), ("wednesday", "unexpected headings", 1)}
     assert "<td>" in us.quarantined(table).first().raw_row
-    dg.load_diagnosis(spark, reports, "diagnosis_load", "week2", databases="DB", location=str(tmp_path / "t"))
+    dg.load_diagnosis(spark, reports, "diagnosis_load", "week2", databases="DB", id_pattern=FILE_NAME, location=str(tmp_path / "t"))
     assert us.sound_rows(spark.table("diagnosis_load")).where("load_id = 'week2'").count() == 2
     assert spark.table("diagnosis_load").where("load_id = 'week1'").count() == 5
 
@@ -89,16 +101,18 @@ def test_a_large_file_is_read_in_pieces(spark, tmp_path):
         file.write_text("<p><tr><td>no table</td></tr></p>" +
                         html(DIAGNOSIS_FIELDS, *[finding(i, f"f{i}") for i in range(3000)]) +
                         html(DIAGNOSIS_FIELDS, finding(-1, "second table")))
-        pieces = read_report_rows(spark, str(file))
+        pieces = read_report_rows(spark, str(file), id_pattern=FILE_NAME)
         rows = dg.diagnosis_rows(us.checked(pieces)).orderBy("row_pos").collect()
         assert [r.priority for r in rows] == list(range(3000))
         assert {r.report_id for r in rows} == {"large"}
         assert len({r.priority for r in dg.diagnosis_rows(us.checked(read_report_rows(
             spark, str(file), all_tables=True))).collect()}) == 3002
         (tmp_path / "small.html").write_text(html(DIAGNOSIS_FIELDS, finding(7, "s")))
-        both = us.read_split(spark, str(tmp_path), DIAGNOSIS_FIELDS, size_limit=10_000)
+        both = us.read_split(spark, str(tmp_path), DIAGNOSIS_FIELDS, size_limit=10_000, id_pattern=FILE_NAME)
         counts = {r.report_id: r["count"] for r in both.groupBy("report_id").count().collect()}
         assert counts == {"large": 3000, "small": 1}
+        other = us.read_split(spark, str(file), USAGE_FIELDS, size_limit=10_000)
+        assert {r.problem for r in other.select("problem").distinct().collect()} == {"unexpected headings"}
         numbered = dg.prepared(dg.diagnosis_rows(both)).where("report_id = 'large'").orderBy("id").collect()
         assert [(r.id, r.priority) for r in numbered] == [(i + 1, i) for i in range(3000)]
     finally:
@@ -113,7 +127,7 @@ def test_stream(spark, tmp_path):
     def arrive(*names):
         for name in names:
             (folder / f"{name}.html").write_text(html(USAGE_FIELDS, row, row))
-        load_arrivals(arriving_reports(spark, str(folder)), lambda docs: us.usage_rows(us.shredded(docs, USAGE_FIELDS)),
+        load_arrivals(arriving_reports(spark, str(folder), id_pattern=FILE_NAME), lambda docs: us.usage_rows(us.shredded(docs, USAGE_FIELDS)),
                       "arrivals", USAGE_TABLE_DDL, str(tmp_path / "state"), location=str(tmp_path / "t"),
                       availableNow=True).awaitTermination()
         return {(r.report_id, r.load_id) for r in spark.table("arrivals").collect()}, spark.table("arrivals").count()

@@ -51,7 +51,7 @@ FILES = {"glob": "*.txt", "id_pattern": r"report_id=(\d+)"}
 
 def read_documents(spark, sf_dir):
     docs = read_reports(spark, _written_documents(spark, sf_dir), **FILES)
-    return (shredded(docs, DIAGNOSIS_FIELDS).groupBy(F.col("report_id").cast("int").alias("report_id"))
+    return (shredded(docs, DIAGNOSIS_FIELDS).groupBy(F.col("report_id").cast("bigint").alias("report_id"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -164,7 +164,7 @@ def load_stream(spark, sf_dir):
     transform = lambda batch: dg.diagnosis_rows(shredded(batch, DIAGNOSIS_FIELDS))
     for _ in range(2):
         load_arrivals(docs, transform, name, ddl, state, location=place, availableNow=True).awaitTermination()
-    return spark.table(name).groupBy(F.col("report_id").cast("int").alias("report_id")).agg(
+    return spark.table(name).groupBy(F.col("report_id").cast("bigint").alias("report_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("priority").alias("sum_priority"))
 
 
@@ -271,7 +271,7 @@ def markdown_files(spark, sf_dir):
     """The documents as files, read back."""
     path = fresh_path(spark, "documents")
     write_markdown(report_full(spark, sf_dir), path, rp.report_order())
-    return spark.read.text(path).groupBy("report_id").agg(
+    return spark.read.text(path).groupBy(F.col("report_id").cast("bigint").alias("report_id")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value").cast("bigint")).alias("n_chars"))
 
 

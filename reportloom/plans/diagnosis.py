@@ -15,6 +15,8 @@ from reportloom.sources.catalog import load_catalog
 from reportloom.sources.markdown import write_markdown
 from reportloom.sources.tables import ensure_table, replace_load
 
+CATALOG_ROWS = 10_000
+
 
 def diagnosis_rows(split: DataFrame, databases: str | None = None) -> DataFrame:
     """Typed rows with empty text kept. ``databases`` keeps databases whose name starts so, and all problem rows."""
@@ -45,6 +47,12 @@ def load_diagnosis(spark: SparkSession, path: str, table: str, load_id: str, dat
 
 
 def write_findings(diagnosis: DataFrame, path: str, catalog: DataFrame | None = None) -> None:
-    """Writes the findings document of every report in a loaded table."""
-    catalog = load_catalog(diagnosis.sparkSession) if catalog is None else catalog
+    """Writes the findings document of every report in a loaded table.
+
+    Section titles are broadcast, so a catalog of one's own must stay small.
+    """
+    if catalog is None:
+        catalog = load_catalog(diagnosis.sparkSession)
+    elif catalog.limit(CATALOG_ROWS + 1).count() > CATALOG_ROWS:
+        raise ValueError(f"a findings catalog holds at most {CATALOG_ROWS} rows")
     write_markdown(findings_report(diagnosis, catalog), path, report_order())

@@ -11,7 +11,7 @@ from reportloom.operators.numbering import BROADCAST_ROWS
 from reportloom.schema import Field
 
 # A larger file is read row by row. A whole document must fit one task's memory several times over.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
+WHOLE_FILE_LIMIT = 64 * 1024 * 1024
 FILE_NAME = r"([^/]+)\.html?$"
 FOLDER_NAME = r"([^/]+)/[^/]*$"
 

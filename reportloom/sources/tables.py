@@ -22,7 +22,7 @@ def replace_load(df: DataFrame, name: str, load_id: str) -> None:
     """Writes one load as one partition; running the same load again replaces it and leaves the others.
 
     A load is a batch of reports, such as a day's, so the number of partitions follows the loads rather than the
-    reports. Rows stay in the order of their documents, which keeps a report's rows in neighbouring row groups.
+    reports.
     """
     columns = [c for c in df.sparkSession.table(name).columns if c != "load_id"]
     df.sparkSession.sql(f"INSERT OVERWRITE {name} PARTITION (load_id = :load_id) SELECT * FROM {{rows}}",

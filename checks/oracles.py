@@ -30,13 +30,8 @@ OBJECT = "case kind when 10 then 'pk' || k when 11 then 'fk' || k else 'ix' || k
 HEAP = "case n1 % 3 when 0 then 'Large' when 1 then 'Medium' else 'Small' end || ' Active Heap'"
 FINDING = f"case when kind = 6 then 'Self Loathing Indexes: ' || {HEAP} else finding end"
 
-# Which kind of row each section reports, by section name.
-KINDS = {s.name: kind for s, kind in zip(SECTIONS, (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14))}
-_ORDER_OF_KINDS = {"many_nc": 0, "duplicate_keys": 1, "borderline_keys": 2, "missing_index": 3,
-                   "forwarded_fetches": 4, "heap_deletes": 5, "active_heaps": 6, "heap_nc_pk": 7,
-                   "nc_high_writes": 8, "wide_indexes": 9, "wide_clustered": 10, "unindexed_fk": 11,
-                   "wide_tables": 12, "addicted_to_nulls": 13, "non_unique_cx": 14}
-KINDS.update(_ORDER_OF_KINDS)
+# Which kind of row each section reports: the sections and the kinds are numbered alike, from one and from zero.
+KINDS = {section.name: section.number - 1 for section in SECTIONS}
 NAMED = "case kind " + " ".join(f"when {kind} then '{name}'" for name, kind in KINDS.items()) + " end"
 NUMBERED = "case kind " + " ".join(f"when {KINDS[s.name]} then {s.number}" for s in SECTIONS) + " end"
 

@@ -16,7 +16,7 @@ from reportloom.operators.markup import USAGE_REPLACEMENTS, clean_markup
 from reportloom.operators.numbering import number_rows, with_row_id
 from reportloom.plans import diagnosis as dg
 from reportloom.plans.sections import BY_NAME, SECTIONS
-from reportloom.plans.usage import checked, quarantined, shredded, sound_rows, usage_rows
+from reportloom.plans.usage import checked, shredded, sound_rows, usage_rows
 from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS, USAGE_TABLE_DDL
 from reportloom.sources import tables
 from reportloom.sources.catalog import load_catalog

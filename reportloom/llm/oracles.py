@@ -2,4 +2,22 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+DECONTAMINATION = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, list_slice(w, p, p + least(len(w), 13) - 1) AS words
+  FROM i, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS t(p) WHERE len(w) > 0),
+pos AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0),
+hit AS (SELECT doc_id, p, n, item_id FROM pos JOIN win ON pos.w[p] = win.words[1] AND (n = 1 OR pos.w[p + 1] = win.words[2])
+  WHERE p + n - 1 <= len(w) AND list_slice(w, p, p + n - 1) = words),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM hit) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": DECONTAMINATION,
+}

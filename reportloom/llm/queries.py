@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from reportloom.llm import packing
+from reportloom.llm import decontaminate, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,17 @@ def ids_crc32(ids: pa.Array) -> pa.Array:
     return pa.array([zlib.crc32(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.int64())
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, word_bpe_path()).select(
         "doc_id", "start", F.col("length").cast("long"), ids_crc32("ids").alias("ids_crc32"),
@@ -41,5 +52,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op4_sharding": op4_sharding,
     "op10_packing": op10_packing,
 }

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS_A_PART = 50_000
+ROWS_A_PART = 10_000
 
 
 def ranked(df: DataFrame, group: str, key: str, rows: int, name: str) -> DataFrame:

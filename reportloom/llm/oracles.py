@@ -18,6 +18,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+JACCARD = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 3), ' ') AS shingle
+  FROM d, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS t(p) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+half AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 85 * (a.n + b.n - i)),
+link AS MATERIALIZED (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
+reach AS (SELECT doc_id, doc_id AS to_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN link l ON r.to_id = l.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT count(*) FROM link WHERE x = d.doc_id) AS n_links,
+  (SELECT min(to_id) FROM reach WHERE reach.doc_id = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
+    "op9_jaccard": JACCARD,
 }

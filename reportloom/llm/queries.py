@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from reportloom.llm import decontaminate, packing, sharding
+from reportloom.llm import decontaminate, jaccard, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, word_bpe_path()).select(
         "doc_id", "start", F.col("length").cast("long"), ids_crc32("ids").alias("ids_crc32"),
@@ -54,5 +58,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_sharding": op4_sharding,
+    "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from reportloom.sources.scratch import materialise
+from reportloom.llm.store import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,10 +28,10 @@ def smallest_reachable(edges: DataFrame) -> DataFrame:
     edges do no harm; without edges the result is empty.
     """
     state = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    edges = materialise(edges.select("u", "v").filter("u != v").distinct())
+    edges = stored(edges.select("u", "v").filter("u != v").distinct())
     last = state(edges)
     while True:
-        edges = materialise(_small_star(_large_star(edges).distinct()).distinct())
+        edges = stored(_small_star(_large_star(edges).distinct()).distinct())
         now = state(edges)
         if now == last:
             return edges.select("u", F.col("v").alias("root"))

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from reportloom.llm.components import smallest_reachable
+from reportloom.llm.store import stored
 from reportloom.llm.words import SPACED, mixed, split_words, text_slices, word_hashes
-from reportloom.sources.scratch import materialise
 
 SHINGLE = 4
 PERCENT = 85
@@ -112,7 +112,7 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """rep and gid: sets and the groups that may hold one of at most their size that is similar."""
+    """rep, n and gid: sets and the groups that may hold one of at most their size that is similar."""
     indexed = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
     by_token = (sets.select("rep", "n", "gid", F.explode(F.slice("prefix", F.lit(1), indexed.cast("int"))).alias("token"))
                 .groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"),
@@ -120,11 +120,11 @@ def candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
     probes = sets.select("rep", "n", F.explode("prefix").alias("token"))
     other = (F.col("low") != F.col("rep")) | (F.col("high") != F.col("rep"))
     fits = (F.col("least") <= F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
-    return probes.join(by_token, "token").filter(other & fits).select("rep", "gid").distinct()
+    return probes.join(by_token, "token").filter(other & fits).select("rep", "n", "gid").distinct()
 
 
-def opened(queries: pa.Table, members: pa.Table, percent: int) -> pa.Table:
-    """Bounds each query by its group's union and opens the groups that reach the bound.
+def opened(call: pa.Table, percent: int) -> pa.Table:
+    """Bounds each query by its group's union and opens the groups that reach the bound. A call has whole groups.
 
     Links go from a set to smaller ones, or of lower number among those of one size. Returns a row for each linked set:
     the weight of its partners and the least set that its links here lead to.
@@ -137,15 +137,11 @@ def opened(queries: pa.Table, members: pa.Table, percent: int) -> pa.Table:
             root[x] = x = root[root[x]]
         return x
 
-    def columns(table: pa.Table) -> dict[int, list[tuple[int, int, np.ndarray]]]:
-        out = defaultdict(list)
-        for gid, rep, weight, blob in zip(*(table.column(c).to_pylist() for c in ("gid", "rep", "weight", "tokens")), strict=True):
-            out[gid].append((rep, weight, np.frombuffer(blob, np.uint64)))
-        return out
-
-    inside = columns(members)
-    for gid, asking in columns(queries).items():
-        group = inside.get(gid, [])
+    inside: dict[bool, dict[int, dict[int, tuple[int, int, np.ndarray]]]] = {s: defaultdict(dict) for s in (False, True)}
+    for gid, rep, weight, member, blob in zip(*(call.column(c).to_pylist() for c in ("gid", "rep", "weight", "member", "tokens")), strict=True):
+        inside[member][gid][rep] = (rep, weight, np.frombuffer(blob, np.uint64))
+    for gid, asking in inside[False].items():
+        group = list(inside[True][gid].values())
         if not group:
             continue
         reps, weights = (np.array([m[i] for m in group], np.int64) for i in (0, 1))
@@ -154,7 +150,7 @@ def opened(queries: pa.Table, members: pa.Table, percent: int) -> pa.Table:
         matrix = np.zeros((len(union), len(group)), np.uint8)  # tokens x sets
         for j, (_, _, tokens) in enumerate(group):
             matrix[np.searchsorted(union, tokens), j] = 1
-        for rep, weight, tokens in asking:
+        for rep, weight, tokens in asking.values():
             at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
             at = at[union[at] == tokens]
             n = len(tokens)
@@ -173,17 +169,20 @@ def opened(queries: pa.Table, members: pa.Table, percent: int) -> pa.Table:
 
 
 def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """digest and tokens (64-bit hashes, ascending) of the texts with wanted ids."""
+    """rep, weight and tokens (64-bit hashes, ascending) of wanted sets, out of the texts of their first documents.
+
+    Rows under that document's id with another text are left out; a repeated row gives its set again.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column(0), size)
-            yield pa.record_batch([pa.array(map(digest, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                  ["digest", "tokens"])
+            right = [i for i, d in enumerate(batch.column(3).to_pylist()) if digest(sets[i]) == d]
+            yield pa.record_batch([batch.column(1).take(pa.array(right, pa.int64())), batch.column(2).take(pa.array(right, pa.int64())),
+                                   pa.array([sets[i].tobytes() for i in right], pa.binary())], ["rep", "weight", "tokens"])
 
-    ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
-    return texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text").mapInArrow(
-        build, "digest binary, tokens binary")
+    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_id"])).select("text", "rep", "weight", "digest")
+    return found.mapInArrow(build, "rep long, weight long, tokens binary")
 
 
 def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -195,32 +194,29 @@ def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     id is never the smallest unless its whole component lacks ids. An empty table gives no rows. Other columns are left out.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialise(prefixes(texts, size, percent).withColumn("key", F.monotonically_increasing_id()))
-    same = rows.filter("n > 0").groupBy("digest").agg(F.min("key").alias("rep"), F.min("doc_id").alias("first_id"),
-                                                     F.count(F.lit(1)).alias("weight"))
-    held = rows.filter("n > 0").select(F.col("key").alias("rep"), "n", "gather", "prefix")
+    rows = stored(prefixes(texts, size, percent).withColumn("key", F.monotonically_increasing_id()))
+    same = rows.filter("n > 0").groupBy("digest").agg(F.min("key").alias("rep"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("weight"),
+                                                     F.min("n").alias("n"), F.min("gather").alias("gather"))
     gathered = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("tokens") / GROUP_TOKENS))
-    sets = held.join(same.select("rep"), "rep", "left_semi")
-    parts = (sets.groupBy("gather").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
+    parts = (same.groupBy("gather").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
              .withColumn("parts", gathered).filter("parts > 1").select("gather", "parts"))
     part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
-    sets = materialise(sets.join(parts, "gather", "left").select("rep", "n", F.xxhash64("gather", part).alias("gid"), "prefix"))
-    found = materialise(candidate_groups(sets, percent))
-
-    asked = found.groupBy("gid").agg(F.count(F.lit(1)).alias("asking")).withColumn("blocks", F.ceil(F.col("asking") / QUERIES_A_CALL))
-    members = sets.select("rep", "n", "gid").join(asked.select("gid", "blocks"), "gid")
-    wanted = found.select("rep").union(members.select("rep")).distinct().join(same, "rep")
-    tokens = materialise(token_sets(texts, wanted, size).dropDuplicates(["digest"]).join(wanted, "digest").select("rep", "weight", "tokens"))
-    asking = found.join(asked.select("gid", "blocks"), "gid").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
-    size_of = lambda d: d.join(tokens, "rep").agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
-    calls = max(1, int(size_of(asking.select("rep")) + size_of(members.select("rep"))) // CALL_TOKENS)
-    call = F.pmod(F.xxhash64("gid", "block"), F.lit(calls)).alias("call")
-    shown = [call, F.xxhash64("gid", "block").alias("gid"), *(F.col(c).alias(c) for c in ("rep", "weight", "tokens"))]
-    left = asking.join(tokens, "rep").select(shown)
-    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    right = members.select("rep", "gid", blocks).join(tokens, "rep").select(shown)
-    linked = materialise(left.groupBy("call").cogroup(right.groupBy("call")).applyInArrow(
-        lambda a, b: opened(a, b, percent), "rep long, links long, root long"))
+    same = stored(same.join(parts, "gather", "left").select("digest", "rep", "first_id", "weight", "n", F.xxhash64("gather", part).alias("gid")))
+    prefix = rows.select(F.col("key").alias("rep"), "prefix")
+    found = stored(candidate_groups(stored(same.select("rep", "n", "gid").join(prefix, "rep")), percent))
+
+    # who asks which group, in blocks, and the group's sets beside each block
+    blocks = F.greatest(F.ceil(F.col("asking") / QUERIES_A_CALL), F.ceil(F.col("tokens") / CALL_TOKENS))
+    asked = found.groupBy("gid").agg(F.count(F.lit(1)).alias("asking"), F.sum("n").alias("tokens")).select("gid", blocks.alias("blocks"))
+    asking = found.join(asked, "gid").select("rep", "n", "gid", F.pmod(F.xxhash64("rep"), "blocks").alias("block"), F.lit(False).alias("member"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    members = same.select("rep", "n", "gid").join(asked, "gid").select("rep", "n", "gid", each, F.lit(True).alias("member"))
+    plan = stored(asking.union(members).select("rep", "n", F.xxhash64("gid", "block").alias("gid"), "member"))
+    calls = max(1, (plan.agg(F.sum("n")).first()[0] or 0) // CALL_TOKENS)
+    wanted = plan.select("rep").distinct().join(same.select("rep", "weight", "digest", "first_id"), "rep")
+    tokens = stored(token_sets(texts, wanted, size))
+    dealt = plan.drop("n").join(tokens, "rep").withColumn("call", F.pmod(F.xxhash64("gid"), F.lit(calls)))
+    linked = stored(dealt.groupBy("call").applyInArrow(lambda call: opened(call, percent), "rep long, links long, root long"))
 
     roots = smallest_reachable(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -18,7 +18,7 @@ from pyspark.sql.functions import arrow_udf
 
 from reportloom.llm.ranks import ranked
 from reportloom.llm.words import SPACED_AS_IS, list_array, split_words, text_slices
-from reportloom.sources.scratch import materialise
+from reportloom.llm.store import stored
 
 SEQUENCE = 2048
 END_ID = 1
@@ -184,7 +184,7 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
     other columns are left out.
     """
     # the one table with ids; all planning reads two narrow columns of it
-    tokens = materialise(tokenized(docs, tokenizer_path, end_id).withColumn("key", F.monotonically_increasing_id()))
+    tokens = stored(tokenized(docs, tokenizer_path, end_id).withColumn("key", F.monotonically_increasing_id()))
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(sequence).cast("long")))
     pieces = tokens.select("key", "n_tokens", starts.alias("start")).select(
         "key", "start", F.least(F.lit(sequence).cast("long"), F.col("n_tokens") - F.col("start")).alias("length"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reportloom.llm.ranks import ranked
 from reportloom.llm.words import SPACED, slices, split_words
-from reportloom.sources.scratch import materialise
+from reportloom.llm.store import stored
 
 BATCHES = 4096  # of small groups
 PIECE_SHARE = 4096  # a group is cut into pieces of this part of the table at most, so there are at most twice as many
@@ -61,7 +61,7 @@ def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
     one group of size 1 a row. Rows of equal ids or texts each get a slot. An empty table gives no rows. Shards may stay
     empty if there are fewer rows than shards. Other columns are left out.
     """
-    rows = materialise(measured(docs).withColumn("key", F.monotonically_increasing_id()))
+    rows = stored(measured(docs).withColumn("key", F.monotonically_increasing_id()))
     sums = rows.agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
     shares = [F.ceil(F.col(m) * PIECE_SHARE / max(sums[m] or 1, 1)) for m in MEASURES]
     groups = rows.groupBy("digest").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))

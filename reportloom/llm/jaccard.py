@@ -5,9 +5,9 @@ group is cut when it has too many sets or tokens. A token that every set of the
 union, bounds what a query set can share with any set of the group: a set with at least the wanted similarity shares
 that part of its own size with the union. So only groups that reach the bound are opened.
 
-Which groups to bound is found by prefixes: ordered by rarity, two similar sets share one of their first tokens. Rarity
+Which groups to bound is found by prefixes: ordered by rarity, two similar sets share some of their first tokens. Rarity
 is only an order. It is taken from the tokens that repeat within a task's share of documents, and any order gives the
-same links.
+same links. Prefixes a little longer must share several tokens, which keeps out sets that meet in one common phrase.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from reportloom.llm.words import SPACED, mixed, split_words, text_slices, word_h
 
 SHINGLE = 4
 PERCENT = 85
-FREQUENT = 500_000  # tokens whose counts order the others; 8 MB in each task
+FREQUENT = 1_000_000  # tokens whose counts order the others; 16 MB in each task
+MEETINGS = 3  # tokens that the prefixes of similar sets share, each prefix being longer by all but one of them
 COUNTED = 4_000_000  # tokens counted at once in a task
 GROUP_SETS, GROUP_TOKENS = 64, 1 << 16
 QUERIES_A_CALL = 1024  # of one group
@@ -102,7 +103,7 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                     seen = np.where(tokens[at] == s, counts[at], 0)
-                rare = s[np.argsort(seen, kind="stable")[: n - -(-percent * n // 100) + 1]]
+                rare = s[np.argsort(seen, kind="stable")[: n - -(-percent * n // 100) + MEETINGS]]
                 rows.append((n, digest(s), int(mixed(s ^ STEP).min().view(np.int64)), rare.view(np.int64)))
             columns = list(zip(*rows, strict=True))
             yield pa.record_batch([batch.column(0), *map(pa.array, columns, (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())))],
@@ -113,14 +114,15 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
 def candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
     """rep, n and gid: sets and the groups that may hold one of at most their size that is similar."""
-    indexed = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
+    indexed = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + MEETINGS
     by_token = (sets.select("rep", "n", "gid", F.explode(F.slice("prefix", F.lit(1), indexed.cast("int"))).alias("token"))
                 .groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"),
                                              F.min("rep").alias("low"), F.max("rep").alias("high")))
     probes = sets.select("rep", "n", F.explode("prefix").alias("token"))
     other = (F.col("low") != F.col("rep")) | (F.col("high") != F.col("rep"))
     fits = (F.col("least") <= F.col("n")) & (100 * F.col("most") >= percent * F.col("n"))
-    return probes.join(by_token, "token").filter(other & fits).select("rep", "n", "gid").distinct()
+    met = probes.join(by_token, "token").filter(other & fits).groupBy("rep", "n", "gid").agg(F.count(F.lit(1)).alias("met"))
+    return met.filter(F.col("met") >= F.least(F.lit(MEETINGS), F.ceil(F.lit(percent) * F.col("n") / 100))).drop("met")
 
 
 def opened(call: pa.Table, percent: int) -> pa.Table:
@@ -181,7 +183,7 @@ def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield pa.record_batch([batch.column(1).take(pa.array(right, pa.int64())), batch.column(2).take(pa.array(right, pa.int64())),
                                    pa.array([sets[i].tobytes() for i in right], pa.binary())], ["rep", "weight", "tokens"])
 
-    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_id"])).select("text", "rep", "weight", "digest")
+    found = texts.join(wanted.hint("merge"), texts["doc_id"].eqNullSafe(wanted["first_id"])).select("text", "rep", "weight", "digest")
     return found.mapInArrow(build, "rep long, weight long, tokens binary")
 
 
@@ -215,7 +217,7 @@ def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     calls = max(1, (plan.agg(F.sum("n")).first()[0] or 0) // CALL_TOKENS)
     wanted = plan.select("rep").distinct().join(same.select("rep", "weight", "digest", "first_id"), "rep")
     tokens = stored(token_sets(texts, wanted, size))
-    dealt = plan.drop("n").join(tokens, "rep").withColumn("call", F.pmod(F.xxhash64("gid"), F.lit(calls)))
+    dealt = plan.drop("n").hint("merge").join(tokens, "rep").withColumn("call", F.pmod(F.xxhash64("gid"), F.lit(calls)))
     linked = stored(dealt.groupBy("call").applyInArrow(lambda call: opened(call, percent), "rep long, links long, root long"))
 
     roots = smallest_reachable(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from reportloom.llm import decontaminate, jaccard, packing, sharding
+from reportloom.llm import decontaminate, jaccard, packing, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +36,20 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -57,7 +66,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_sharding": op4_sharding,
+    "op6_toxicity": op6_toxicity,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
 }

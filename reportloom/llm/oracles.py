@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from reportloom.llm import licences as lc, rules
+
 DECONTAMINATION = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -18,6 +20,82 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+LINES = r"""
+WITH lines AS (SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+toks AS (SELECT doc_id, pos, line, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[ \t\r]+'), lambda t: t <> '') AS t FROM lines),
+parts AS (SELECT doc_id, pos, len(t) AS n, t, CASE WHEN len(t) >= 8 THEN list_transform([0, 1, 2, 3], lambda j: list_slice(t, 4 + (len(t) - 3) * j // 4, 3 + (len(t) - 3) * (j + 1) // 4)) END AS p FROM toks WHERE len(t) >= 3),
+tmpl AS (SELECT doc_id, pos, n, 'whole ' || to_json(t) AS k FROM parts
+  UNION ALL SELECT doc_id, pos, n, j || to_json([list_slice(t, 1, 3)] || list_filter(p, lambda x, i: i <> j)) AS k FROM parts, unnest([1, 2, 3, 4]) AS u(j) WHERE n >= 8),
+rec AS (SELECT n, k, min(doc_id) AS first FROM tmpl GROUP BY n, k HAVING count(DISTINCT doc_id) >= CASE WHEN n >= 8 THEN 2 ELSE 10 END),
+gone AS (SELECT DISTINCT doc_id, pos, n FROM tmpl JOIN rec USING (n, k) WHERE first < doc_id),
+kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY 1),
+lost AS (SELECT doc_id, count(*) AS n_dropped, sum(n) AS n_tokens FROM gone GROUP BY 1)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  coalesce(lost.n_dropped, 0) AS n_dropped, CAST(coalesce(len(list_filter(regexp_split_to_array(d.text, '[ \t\r\n]+'), lambda t: t <> '')), 0) AS BIGINT) AS n_tokens,
+  CAST(coalesce(lost.n_tokens, 0) AS BIGINT) AS n_dropped_tokens
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
+def _canonical(text: str) -> str:
+    bare = f"regexp_replace(regexp_replace(lower({text}), '{lc.COPYRIGHT_LINE}', '', 'g'), '{lc.NOT_WORD}', ' ', 'g')"
+    for other, one in lc.EQUIVALENT:
+        bare = f"replace({bare}, '{other}', '{one}')"
+    return f"trim({bare})"
+
+
+def _digest(text: str) -> str:
+    return f"CASE WHEN {_canonical(text)} <> '' THEN sha256({_canonical(text)}) END"
+
+
+LICENCES = f"""
+WITH known AS (SELECT DISTINCT licence, {_digest("text")} AS digest FROM (VALUES {", ".join(f"('{n}', '{t}')" for n, t in lc.KNOWN)}) AS k(licence, text)),
+d AS (SELECT doc_id, text, {_digest("text")} AS digest FROM documents),
+l AS (SELECT doc_id, {_digest("line")} AS digest FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+n AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS notices FROM (SELECT DISTINCT doc_id, licence FROM l JOIN known USING (digest)) GROUP BY 1)
+SELECT doc_id, d.digest, (SELECT min(licence) FROM known WHERE known.digest = d.digest) AS licence, coalesce(n.notices, '') AS notices
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
+_VALUES = {"symbols": "n_symbols / n_words", "repeats": "n_repeat_words / n_words", "dup_lines": "n_dup_lines / n_lines", "word_length": "word_chars / n_words"}
+_GRID = ", ".join(f"('{r}', {c})" for r, cuts in rules.CUTOFFS.items() for c in cuts)
+_RATE = rules.LIMIT / len(rules.CUTOFFS)
+RULES = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+win AS (SELECT doc_id, p, list_slice(w, p, p + 2) AS x FROM d, unnest(generate_series(1, len(w) - 2)) AS t(p)),
+twice AS (SELECT doc_id, x FROM win GROUP BY 1, 2 HAVING count(*) > 1),
+rep AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM win JOIN twice USING (doc_id, x)) GROUP BY 1),
+m AS (SELECT doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  coalesce(n_repeat_words, 0) AS n_repeat_words FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+v AS ({" UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, coalesce(CAST({e.split(' / ')[0]} AS DOUBLE) / nullif({e.split(' / ')[1]}, 0), 0) AS value FROM m" for r, e in _VALUES.items())}),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING min(quality) = 1),
+held AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (value > cutoff) AS k
+  FROM v SEMI JOIN good USING (doc_id) JOIN (VALUES {_GRID}) AS g(rule, cutoff) USING (rule) GROUP BY 1, 2, 3),
+tail AS (SELECT stratum, rule, cutoff, list_sum(list_transform(generate_series(0, k), lambda i:
+    exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END + i * ln({_RATE}) + (n - i) * ln(1 - {_RATE})))) AS p
+  FROM held WHERE k <= n * {_RATE}),
+cut AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tail
+  WHERE p <= {rules.RISK} / ((SELECT count(DISTINCT stratum) FROM m) * {sum(map(len, rules.CUTOFFS.values()))}) GROUP BY 1, 2),
+bad AS (SELECT DISTINCT doc_id FROM v JOIN cut USING (stratum, rule) WHERE value > cutoff)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND bad.doc_id IS NULL AS kept
+FROM m LEFT JOIN bad ON m.doc_id = bad.doc_id
+"""
+
+_ESCAPE = "replace(replace({}, '&', '&amp;'), '<|', '&lt;|')"
+CHATS = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>' || replace({_ESCAPE.format("role")}, chr(10), '&#10;') || chr(10) || {_ESCAPE.format("text")} || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 JACCARD = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 3), ' ') AS shingle
@@ -33,6 +111,10 @@ FROM documents d LEFT JOIN n USING (doc_id)
 """
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": LINES,
     "op2_decontamination": DECONTAMINATION,
+    "op5_license_scan": LICENCES,
+    "op7_quality_rules": RULES,
+    "op8_chat_format": CHATS,
     "op9_jaccard": JACCARD,
 }

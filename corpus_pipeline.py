@@ -1,24 +1,62 @@
-"""A training-data pipeline out of the operators in reportloom.llm."""
+"""A training-data pipeline out of the operators in reportloom.llm.
+
+Each stage gets what its predecessor kept, as a table that was written and is read again, and all but the last return the
+columns of documents. Rows without an id, repeated rows, null and empty texts pass through the stages as their operators
+define; an empty table gives an empty result. Documents lose no row that no stage has a reason to take out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from reportloom.llm import decontaminate, jaccard, linededup, queries, toxicity
+from reportloom.llm.store import stored
+
+ORACLE_SQL = None  # a trained model and a tokenizer are no SQL; tests hold run() against a brute-force version
+
+LEFT = 0.2  # a document that keeps a smaller share of its tokens is a copy of others
+
+
+def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on labelled ones of the same table, does not reject."""
+    model = toxicity.train(docs, queries.table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def without_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines stay in their first document. A document with hardly anything left goes, one that had no tokens stays."""
+    cleaned = linededup.without_recurring_lines(docs)
+    kept = cleaned.filter(F.col("n_tokens") - F.col("n_dropped_tokens") >= LEFT * F.col("n_tokens"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return kept.select(docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of similar ones; of rows under one id, one."""
+    found = jaccard.similar_groups(docs)
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["kept_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
 
-from reportloom.llm import queries
-from reportloom.sources.scratch import materialise
 
-ORACLE_SQL = None  # tokenizers and a trained model are no SQL
+def without_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no more of the benchmark than the rule allows."""
+    found = decontaminate.contamination(docs, queries.table(spark, sf_dir, "benchmark"))
+    dirty = found.filter("contaminated").select(F.col("doc_id").alias("dirty_id")).distinct()
+    return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["dirty_id"]), "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.packed(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("toxicity", without_toxicity), ("line dedup", without_lines), ("n-gram Jaccard join", without_near_duplicates),
+          ("benchmark decontamination", without_contamination), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

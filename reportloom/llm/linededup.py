@@ -21,9 +21,16 @@ DOCS, DOCS_SHORT = 2, 10  # documents that make a template recurring
 LAST = 2**63 - 1  # stands for a missing id
 
 
-def tokens_of(line: Column) -> Column:
-    fields = F.split(F.regexp_replace(line, "[0-9]+", "<*>"), "[ \\t\\r]+")
-    return F.filter(fields, lambda t: t != "")
+def fields(text: Column) -> Column:
+    """Tokens between blanks, tabs and line ends."""
+    for separator in "\t\r\n":
+        text = F.replace(text, F.lit(separator), F.lit(" "))
+    return F.filter(F.split(text, " "), lambda t: t != "")
+
+
+def parsed(line: Column) -> Column:
+    """n (tokens) and templates of a line, whose tokens are cut once."""
+    return F.transform(F.array(fields(F.regexp_replace(line, "[0-9]+", "<*>"))), lambda t: F.struct(F.size(t).alias("n"), templates(t).alias("templates")))[0]
 
 
 def templates(tokens: Column) -> Column:
@@ -54,8 +61,7 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     body = F.xxhash64(text)
     read = docs.select(doc.alias("doc"), body.alias("body"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    parsed = read.select("doc", "body", "pos", tokens_of(F.col("line")).alias("tokens"))
-    lines = stored(parsed.select("doc", "body", "pos", F.size("tokens").alias("n"), templates(F.col("tokens")).alias("templates")).filter(F.size("templates") > 0))
+    lines = stored(read.select("doc", "body", "pos", parsed(F.col("line")).alias("line"))).select("doc", "body", "pos", "line.n", "line.templates")
 
     opened = lines.select("doc", "body", "pos", "n", F.explode("templates").alias("template"))
     recurring = (opened.select("doc", "template", "n").distinct().groupBy("template", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
@@ -73,7 +79,7 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
     runs = F.transform(F.array(split), lambda all_lines: F.flatten(F.transform(
         F.arrays_zip(before.alias("a"), after.alias("b")), lambda r: F.slice(all_lines, r["a"] + 2, r["b"] - r["a"] - 1))))
     left = F.when(F.size(at) > 0, F.array_join(runs[0], "\n")).otherwise(text)
-    tokens = F.size(F.filter(F.split(text, "[ \\t\\r\\n]+"), lambda t: t != ""))
+    tokens = F.size(fields(text))
     counts = [F.when(text.isNull(), 0).otherwise(F.size(split)), F.size(at), F.when(text.isNull(), 0).otherwise(tokens), F.coalesce(mark["gone_tokens"], F.lit(0))]
     kept = [left.alias(c) if c == "text" else F.col(c) for c in docs.columns]
     return joined.select(*kept, *(c.cast("long").alias(name) for c, name in zip(counts, own, strict=True)))

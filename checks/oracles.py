@@ -125,8 +125,8 @@ REPORT = (
     f"union all select report_id, {NUMBERED}, {NAMED}, priority, {_key(NUMBER_KEYS, 0, True)}, "
     f"{_key(NUMBER_KEYS, 1, True)}, {_key(NUMBER_KEYS, 2, True)}, {_key(TEXT_KEYS, 0)}, {_key(TEXT_KEYS, 1)}, k, "
     f"{_case(LINES)} from d where kind < 15")
-LINE_ORDER = ("section_no, priority, n1 desc nulls last, n2 desc nulls last, n3 desc nulls last, s1 nulls first, "
-              "s2 nulls first, id nulls first")
+LINE_ORDER = ("section_no, priority, n1 desc nulls last, n2 desc nulls last, n3 desc nulls last, lower(s1) nulls first, "
+              "lower(s2) nulls first, s1 nulls first, s2 nulls first, id nulls first")
 
 
 def section_sql(name: str) -> str:

@@ -19,9 +19,9 @@ BASE_COLUMNS = ["finding", "database_name", "details", "definition", "secret_col
 
 
 def report_order() -> list[Column]:
-    """A total order over the lines of all reports: numbers downwards, text upwards, then the row's own id."""
+    """A total order over the lines of all reports: numbers downwards, text upwards whatever its case, then the row's id."""
     return [F.asc("report_id"), F.asc("section_no"), F.asc("priority"), *[F.desc(n) for n in NUMBERS],
-            *[F.asc(s) for s in TEXTS], F.asc("id")]
+            *[F.lower(s).asc() for s in TEXTS], *[F.asc(s) for s in TEXTS], F.asc("id")]
 
 
 def section_counts(diagnosis: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:

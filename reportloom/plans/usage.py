@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reportloom.operators.markup import cells, shred_rows, typed
 from reportloom.schema import USAGE_FIELDS, USAGE_TABLE_DDL, Field
-from reportloom.sources.reports import WHOLE_FILE_LIMIT, large_files, read_report_rows, read_reports
+from reportloom.sources.reports import WHOLE_FILE_LIMIT, read_report_rows, read_reports
 from reportloom.sources.tables import ensure_table, replace_load
 
 ORIGIN = ["report_id", "source_path", "row_pos", "problem", "raw_row"]
@@ -36,10 +36,8 @@ def read_split(spark: SparkSession, path: str, fields: tuple[Field, ...], check_
     """Rows with cells of all files under a path; files above the limit are read row by row."""
     docs = read_reports(spark, path, glob, id_pattern, size_limit)
     whole = shredded(docs, fields, check_headings)
-    large = large_files(spark, path, glob, size_limit)
-    if not large:
-        return whole
-    rows = read_report_rows(spark, large, id_pattern, fields=fields if check_headings else None)
+    rows = read_report_rows(spark, path, id_pattern, fields=fields if check_headings else None, glob=glob,
+                            size_above=size_limit)
     return whole.unionByName(checked(rows), allowMissingColumns=True)
 
 

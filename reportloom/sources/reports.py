@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reportloom.operators.markup import same_headings
-from reportloom.operators.numbering import BROADCAST_ROWS
 from reportloom.schema import Field
 
 # A larger file is read row by row. A whole document must fit one task's memory several times over.
@@ -55,42 +54,46 @@ def documents(files: DataFrame, id_pattern: str | None = None) -> DataFrame:
                         .otherwise(F.make_valid_utf8(F.col("content").cast("string"))).alias("html"))
 
 
-def large_files(spark: SparkSession, path: str | list[str], glob: str = "*.html",
-                size_limit: int = WHOLE_FILE_LIMIT) -> list[str]:
-    """Paths of the files above the limit. Reads the listing only; the list is bounded by total size over limit."""
-    files = html_files(spark.read, glob).load(path).where(F.col("length") > size_limit).select("path")
-    return [row.path for row in files.collect()]
+def plain_path(encoded: Column) -> Column:
+    """The path that the binary source gives, out of the URL-encoded one in the metadata of other sources."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def read_report_rows(spark: SparkSession, path: str | list[str], id_pattern: str | None = None,
                      row_end: str = "</tr>", fields: Sequence[Field] | None = None,
-                     all_tables: bool = False) -> DataFrame:
+                     all_tables: bool = False, glob: str = "*", size_above: int = -1) -> DataFrame:
     """``report_id, source_path, row_pos, tr`` for UTF-8 files of any size; the first table only unless ``all_tables``.
 
-    The text source cuts at the row end tag, so one file is read by many tasks. A row that a table start precedes is
-    that table's heading row and is left out; with ``fields``, ``header_ok`` says whether the first one names them. A
-    row's place is its block's start plus its order within the block: it grows along the file and leaves gaps, which
-    numbering by ``row_pos`` allows.
+    The text source cuts at the row end tag, so one file is read by many tasks; other spellings of the tag are cut
+    within its pieces. A row that a table start precedes is that table's heading row and is left out; with ``fields``,
+    ``header_ok`` says whether the first one names them. A row's place is its block's start plus its order within the
+    block: it grows along the file and leaves gaps, which numbering by ``row_pos`` allows. A file that yields no row,
+    such as one in UTF-16, gives one row of its first characters, which is then set aside. ``size_above`` leaves smaller
+    files out at the listing.
     """
-    lines = (spark.read.option("lineSep", row_end).text(path)
-             .select(F.col("_metadata.file_path").alias("source_path"),
-                     F.struct(F.col("_metadata.file_block_start").alias("block"),
-                              F.monotonically_increasing_id().alias("line")).alias("_at"),
-                     F.col("value")))
+    files = spark.read.option("lineSep", row_end).option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    pieces = (files.text(path).where(F.col("_metadata.file_size") > size_above)
+              .select(plain_path(F.col("_metadata.file_path")).alias("source_path"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.explode(F.split("value", r"(?i)</tr\s*>")).alias("value")))
+    at = F.struct("block", F.monotonically_increasing_id().alias("line"))
+    lines = pieces.select("source_path", at.alias("_at"), "value")
     starts, ends = F.col("value").rlike(r"(?i)<table\b"), F.col("value").rlike(r"(?i)</table\b")
-    rows, extra = lines.where(F.col("value").rlike(r"(?i)<tr\b") & ~starts), []
+    row = F.col("value").rlike(r"(?i)<tr\b") & ~starts
+    # Where a file's first table starts, and where the text after its last row is; one row per file.
+    start, extra = F.when(starts, F.col("_at")), []
+    facts = [F.min(start).alias("_start"), F.min(F.when(ends, F.col("_at"))).alias("_end"), F.max(row).alias("_rows"),
+             F.min_by(F.substring("value", 1, 1000), F.col("_at")).alias("_head")]
+    if fields is not None and not all_tables:
+        facts.append(F.min_by(same_headings(F.col("value"), fields), start).alias("header_ok"))
+        extra = ["header_ok"]
+    per_file = lines.groupBy("source_path").agg(*facts)
+    rows = lines.where(row).join(per_file, "source_path")
     if not all_tables:
-        # Where a file's first table starts, and where the text after its last row is; one row per file.
-        start = F.when(starts, F.col("_at"))
-        bounds = [F.min(start).alias("_start"), F.min(F.when(ends, F.col("_at"))).alias("_end")]
-        if fields is not None:
-            bounds.append(F.min_by(same_headings(F.col("value"), fields), start).alias("header_ok"))
-            extra = ["header_ok"]
-        per_file = lines.where(starts | ends).groupBy("source_path").agg(*bounds)
-        if per_file.count() <= BROADCAST_ROWS:
-            per_file = F.broadcast(per_file)
-        rows = rows.join(per_file, "source_path").where(
-            (F.col("_at") > F.col("_start")) & (F.col("_end").isNull() | (F.col("_at") < F.col("_end"))))
-    return rows.select(report_id_of(F.col("source_path"), id_pattern).alias("report_id"), "source_path", *extra,
-                       (F.col("_at.block") + F.col("_at.line") % (1 << 33)).alias("row_pos"),
+        rows = rows.where((F.col("_at") > F.col("_start")) & (F.col("_end").isNull() | (F.col("_at") < F.col("_end"))))
+    place = F.col("_at.block") + F.col("_at.line") % (1 << 33)
+    kept = rows.select("source_path", *extra, place.alias("row_pos"),
                        F.concat(F.regexp_extract("value", r"(?is)(<tr\b.*)", 1), F.lit(row_end)).alias("tr"))
+    none = per_file.where(~F.col("_rows")).select("source_path", *extra, F.lit(0).cast("long").alias("row_pos"),
+                                                  F.col("_head").alias("tr"))
+    return kept.unionByName(none).select(report_id_of(F.col("source_path"), id_pattern).alias("report_id"), "*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, partition_by: str = "load_id",
@@ -22,8 +22,15 @@ def replace_load(df: DataFrame, name: str, load_id: str) -> None:
     """Writes one load as one partition; running the same load again replaces it and leaves the others.
 
     A load is a batch of reports, such as a day's, so the number of partitions follows the loads rather than the
-    reports.
+    reports. The old partition goes only when the new files are complete, so a run that fails leaves it as it was. A run
+    without rows replaces nothing.
     """
     columns = [c for c in df.sparkSession.table(name).columns if c != "load_id"]
-    df.sparkSession.sql(f"INSERT OVERWRITE {name} PARTITION (load_id = :load_id) SELECT * FROM {{rows}}",
-                        args={"load_id": load_id}, rows=df.select(*columns))
+    rows = df.select(*columns, F.lit(load_id).alias("load_id"))
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(mode, before)

@@ -22,12 +22,17 @@ def load_arrivals(docs: DataFrame, transform: Callable[[DataFrame], DataFrame],
                   checkpoint: str, name: str = "stream", location: str | None = None, **trigger) -> StreamingQuery:
     """Starts a stream that writes each micro-batch as a load of its own.
 
-    A batch that is run again after a failure has the same number and so replaces its own partition only.
+    A load is named after the stream, the query that its checkpoint belongs to and the batch. A batch that is run again
+    after a failure so replaces its own partition only, and neither another stream nor one with a new checkpoint can
+    replace it.
     """
     ensure_table(docs.sparkSession, table, ddl, location=location)
 
     def write(batch: DataFrame, number: int) -> None:
-        replace_load(transform(batch), table, f"{name}-{number}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the stream does not say which query it is")
+        replace_load(transform(batch), table, f"{name}-{query}-{number}")
 
     stream = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (stream.trigger(**trigger) if trigger else stream).start()

@@ -122,19 +122,52 @@ def test_a_large_file_is_read_in_pieces(spark, tmp_path):
 def test_stream(spark, tmp_path):
     folder = tmp_path / "arriving"
     folder.mkdir()
-    row = ["1"] * 60
+    row, state = ["1"] * 60, "state"
 
     def arrive(*names):
         for name in names:
             (folder / f"{name}.html").write_text(html(USAGE_FIELDS, row, row))
         load_arrivals(arriving_reports(spark, str(folder), id_pattern=FILE_NAME), lambda docs: us.usage_rows(us.shredded(docs, USAGE_FIELDS)),
-                      "arrivals", USAGE_TABLE_DDL, str(tmp_path / "state"), location=str(tmp_path / "t"),
+                      "arrivals", USAGE_TABLE_DDL, str(tmp_path / state), location=str(tmp_path / "t"),
                       availableNow=True).awaitTermination()
-        return {(r.report_id, r.load_id) for r in spark.table("arrivals").collect()}, spark.table("arrivals").count()
-
-    assert arrive("a", "b") == ({("a", "stream-0"), ("b", "stream-0")}, 4)
-    assert arrive() == ({("a", "stream-0"), ("b", "stream-0")}, 4)
-    assert arrive("c")[1] == 6
+        found = spark.table("arrivals").collect()
+        return {(r.report_id, r.load_id[:7], r.load_id[-2:]) for r in found}, len({r.load_id for r in found}), len(found)
+
+    assert arrive("a", "b") == ({("a", "stream-", "-0"), ("b", "stream-", "-0")}, 1, 4)
+    assert arrive() == ({("a", "stream-", "-0"), ("b", "stream-", "-0")}, 1, 4)
+    assert arrive("c")[2] == 6
+    state = "other state"  # a new checkpoint reads all files again and replaces nothing
+    assert arrive()[1:] == (3, 12)
+
+
+def test_a_failed_replacement_leaves_the_load(spark, tmp_path):
+    tables.ensure_table(spark, "kept_load", "a int, load_id string", location=str(tmp_path / "kept_load"))
+    tables.replace_load(spark.range(10).selectExpr("cast(id as int) as a"), "kept_load", "one")
+    with pytest.raises(Exception):
+        tables.replace_load(spark.range(10).selectExpr("cast(if(id = 7, raise_error('no'), id) as int) as a"), "kept_load", "one")
+    assert spark.table("kept_load").count() == 10
+    tables.replace_load(spark.range(3).selectExpr("cast(id as int) as a"), "kept_load", "one")
+    spark.catalog.refreshTable("kept_load")
+    assert spark.table("kept_load").count() == 3
+
+
+@pytest.mark.parametrize("name, change", [("plain.html", str), ("a b+c.html", lambda t: t.upper().replace("</TR>", "</tr >")),
+                                          ("r[1].html", lambda t: t.replace("</tr>", "</TR>")), ("r{x}.html", lambda t: t.replace("</tr>", "</Tr\n>"))])
+def test_files_above_and_below_the_limit_give_the_same(spark, tmp_path, name, change):
+    (tmp_path / name).write_text(html(DIAGNOSIS_FIELDS, *[finding(i, f"f{i}") for i in range(50)]))
+    text = (tmp_path / name).read_text()
+    head, tail = text.split("</tr>", 1)
+    (tmp_path / name).write_text(head + "</tr>" + tail if change is str else head + "</tr>" + change(tail))
+    found = [sorted((r.source_path.removeprefix("file:"), str(r.cells), r.problem) for r in us.read_split(
+        spark, str(tmp_path), DIAGNOSIS_FIELDS, size_limit=limit).collect()) for limit in (10, 10**9)]
+    assert len(found[0]) == 50 and [x[1:] for x in found[0]] == [x[1:] for x in found[1]]
+    assert {x[0] for x in found[0]} == {x[0] for x in found[1]}
+
+
+def test_a_large_file_in_another_encoding_is_set_aside(spark, tmp_path):
+    (tmp_path / "wide.html").write_bytes(html(DIAGNOSIS_FIELDS, finding(1, "f")).encode("utf-16"))
+    found = us.read_split(spark, str(tmp_path), DIAGNOSIS_FIELDS, size_limit=10).collect()
+    assert len(found) == 1 and found[0].problem is not None
 
 
 def test_the_shared_folder_is_the_named_one(spark):

@@ -86,6 +86,11 @@ def binomial_log_tail(n: Column, k: Column, rate: float) -> Column:
     return F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>")), start, add, lambda a: a["total"])
 
 
+def exceeded(value: Column, cutoffs: list[float]) -> Column:
+    """How many of the ascending cutoffs the value is above."""
+    return F.size(F.filter(F.lit(cutoffs), lambda c: value > c))
+
+
 def certified(measures: DataFrame, labels: DataFrame, limit: float = LIMIT, risk: float = RISK) -> DataFrame:
     """stratum, rule and cutoff: the lowest certified one. Rules share the limit; all cutoffs of all strata share the risk.
 
@@ -94,7 +99,7 @@ def certified(measures: DataFrame, labels: DataFrame, limit: float = LIMIT, risk
     good = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).dropna()
             .groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id"))
     values = rule_values()
-    above = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.size(F.filter(F.lit(CUTOFFS[r]), lambda c, v=v: v > c)).alias("passed")) for r, v in values.items())))
+    above = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), exceeded(v, CUTOFFS[r]).alias("passed")) for r, v in values.items())))
     seen = measures.join(good, "doc_id", "left_semi").select("stratum", above.alias("r")).groupBy("stratum", "r.rule", "r.passed").agg(F.count(F.lit(1)).alias("n"))
     by_rule = seen.groupBy("stratum", "rule").agg(F.sum("n").alias("n"), F.collect_list(F.struct("passed", "n")).alias("seen"))  # one entry a cutoff at most
     lists = F.create_map(*chain.from_iterable((F.lit(r), F.lit(c)) for r, c in CUTOFFS.items()))

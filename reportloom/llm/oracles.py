@@ -37,8 +37,11 @@ FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
 """
 
 
+_NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F«»“”‘’„—–…]+"
+
+
 def _canonical(text: str) -> str:
-    bare = f"regexp_replace(regexp_replace(lower({text}), '{lc.COPYRIGHT_LINE}', '', 'g'), '{lc.NOT_WORD}', ' ', 'g')"
+    bare = f"regexp_replace(regexp_replace(lower({text}), '{lc.COPYRIGHT_LINE}', '', 'g'), '{_NOT_WORD}', ' ', 'g')"
     for other, one in lc.EQUIVALENT:
         bare = f"replace({bare}, '{other}', '{one}')"
     return f"trim({bare})"

@@ -15,6 +15,7 @@ from reportloom.llm.words import Words, mixed, slices, split_words, text_slices,
 BITS = 20
 FEATURES = 20_000  # kept of the hashed ones, those that tell the labels apart best
 LEAST_Z = 4.0
+SCORED_BYTES = 2 << 20  # text scored at once, so that a worker needs little memory whatever the batch; a longer text is a slice of its own
 STEPS, RATE, DECAY = 300, 0.3, 5e-4
 
 
@@ -67,7 +68,7 @@ def present(texts: pa.Array, features: Features, wanted: np.ndarray | None = Non
 def scored(texts: pa.Array, features: Features, model: Model) -> np.ndarray:
     """Probabilities of label 1."""
     out = []
-    for a, b in slices(texts):
+    for a, b in slices(texts, SCORED_BYTES):
         row, at = present(texts.slice(a, b - a), features, model.places)
         out.append(np.bincount(row, model.weights[at], b - a))
     z = np.concatenate(out) + model.bias if out else np.empty(0)

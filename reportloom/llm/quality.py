@@ -14,9 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from reportloom.llm.linear import Features, fit, hashed, score_column
+from reportloom.llm.linear import SCORED_BYTES, Features, fit, hashed, score_column
 from reportloom.llm.store import stored
-from reportloom.llm.words import BLANKS, SPACED_AS_IS, Words, byte_table, split_words, text_slices
+from reportloom.llm.words import BLANKS, SPACED_AS_IS, Words, byte_table, slices, split_words, text_slices
 
 TRAIN_ROWS = 20_000  # documents that the scorer is fitted on, chosen by a hash of their text
 ROUNDS = 200
@@ -72,6 +72,15 @@ def votes(texts: pa.Array, function_words: tuple[str, ...] = FUNCTION_WORDS) ->
     return out
 
 
+def signs(texts: pa.Array, function_words: tuple[str, ...]) -> list[str]:
+    """Votes on each text, a sign for each labeller, from a bounded amount of text at once."""
+    out = []
+    for a, b in slices(texts, SCORED_BYTES):
+        found = np.frombuffer(b"-.+", np.uint8)[votes(texts.slice(a, b - a), function_words)].T
+        out += [bytes(r).decode() for r in np.ascontiguousarray(found)]
+    return out
+
+
 def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """The probability that a text with each pattern (rows of 0, 1, 2) is good, by expectation-maximisation.
 
@@ -135,8 +144,8 @@ def score(docs: DataFrame, rows: int = TRAIN_ROWS, function_words: tuple[str, ..
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            signs = np.frombuffer(b"-.+", np.uint8)[votes(batch.column(1).cast(pa.string()), function_words)].T
-            yield pa.record_batch([batch.column(0), pa.array([bytes(r).decode() for r in np.ascontiguousarray(signs)]), batch.column(2)],
+            said = pa.array(signs(batch.column(1).cast(pa.string()), function_words), pa.string())
+            yield pa.record_batch([batch.column(0), said, batch.column(2)],
                                   ["doc_id", "votes", "text_hash"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -156,8 +165,8 @@ def score(docs: DataFrame, rows: int = TRAIN_ROWS, function_words: tuple[str, ..
 
     @F.arrow_udf("struct<votes:string,posterior:double>")
     def judged_votes(column: pa.Array) -> pa.Array:
-        signs = [bytes(r).decode() for r in np.ascontiguousarray(np.frombuffer(b"-.+", np.uint8)[votes(column.cast(pa.string()), function_words)].T)]
-        return pa.StructArray.from_arrays([pa.array(signs, pa.string()), pa.array([table[s] for s in signs], pa.float64())], ["votes", "posterior"])
+        said = signs(column.cast(pa.string()), function_words)
+        return pa.StructArray.from_arrays([pa.array(said, pa.string()), pa.array([table[s] for s in said], pa.float64())], ["votes", "posterior"])
 
     out = texts.select("doc_id", judged_votes("text").alias("v"), score_column(F.col("text"), FEATURES, model).alias("score"))
     return out.select("doc_id", "v.votes", "v.posterior", "score", (F.col("score") >= KEPT).alias("kept"))

@@ -24,6 +24,7 @@ from reportloom.plans.usage import shredded, usage_rows
 from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS
 from reportloom.sources.catalog import load_catalog
 from reportloom.sources.markdown import write_markdown
+from reportloom.sources.scratch import materialise
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -61,7 +62,7 @@ def main() -> None:
         "shred_usage_60_cells": lambda: usage_rows(shredded(usage, USAGE_FIELDS)),
         "shred_lines_4_cells": lambda: shredded(lines, (), check_headings=False).select("cells"),
         "shred_diagnosis": split,
-        "load_diagnosis_with_ids": lambda: dg.prepared(split()),
+        "load_diagnosis_with_ids": lambda: dg.prepared(materialise(split())),
         "derive": lambda: derive(raw),
         "section_counts": lambda: rp.section_counts(table),
         "section_missing_index": lambda: rp.section_report(table, catalog, BY_NAME["missing_index"]),

@@ -36,13 +36,13 @@ def _rows(rows, names) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-def differences(spark: SparkSession, con, sf_dir: str, name: str) -> tuple[int, str]:
+def differences(spark: SparkSession, con, sf_dir: str, name: str, queries=QUERIES, oracles=ORACLES) -> tuple[int, str]:
     """The row count and what differs, empty text if nothing does."""
-    df = QUERIES[name](spark, sf_dir)
+    df = queries[name](spark, sf_dir)
     mine = _rows((tuple(r) for r in df.collect()), df.columns)
-    if name not in ORACLES:
+    if name not in oracles:
         return sum(mine.values()), ""
-    result = con.execute(ORACLES[name])
+    result = con.execute(oracles[name])
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return sum(mine.values()), f"columns {sorted(df.columns)} against {sorted(names)}"

@@ -20,7 +20,8 @@ DIAGNOSIS_SQL = """
 with b as (
   select o_orderkey as k, o_orderkey % 17 as kind, o_orderkey % 97 + 1 as n1, o_orderkey % 89 + 1 as n2,
          case when o_orderkey % 1000 < 12 then 20 + o_orderkey % 1000 else o_orderkey % 20 end as report_id,
-         'db' || cast(o_orderkey % 5 as string) as db, 'T' || cast(o_orderkey as string) as t
+         case when o_orderkey % 35 = 4 then '' when o_orderkey % 5 = 2 then 'DB2' else 'db' || cast(o_orderkey % 5 as string) end as db,
+         'T' || cast(o_orderkey as string) as t
   from {orders})
 select k, kind, n1, n2, report_id, db as database_name,
   case when kind = 0 then 10 when kind = 1 then 20 when kind = 2 then 30 when kind = 3 then 50

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from checks.fixtures import CELL_VALUE, DIAGNOSIS_SQL, PAGE_KEYS, USAGE_KEYS, usage_cell
 from checks.queries import NUMERIC, USAGE_COLUMNS
-from reportloom.operators.markup import USAGE_REPLACEMENTS
 from reportloom.plans.sections import SECTIONS, overflow_text
 from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS
 from reportloom.sources.catalog import CATALOG
@@ -20,7 +19,6 @@ def quoted(text: str) -> str:
 DIAGNOSIS = DIAGNOSIS_SQL.format(orders="orders")
 D = f"with d as ({DIAGNOSIS})"
 CELLS = ", ".join(f.name for f in DIAGNOSIS_FIELDS)
-TABLE = "case when kind = 11 then '' else 'dbo.T' || k end"
 TABLE_SHOWN = "'dbo.T' || k"
 PREP = """case kind when 3 then '1,' || (100 + n1) || ';' || n1 || '.' || (n2 % 10) || '%' || n2 || '.1234'
   when 9 then '' || n1 when 10 then n1 || ' ' || n2
@@ -35,24 +33,25 @@ KINDS = {section.name: section.number - 1 for section in SECTIONS}
 NAMED = "case kind " + " ".join(f"when {kind} then '{name}'" for name, kind in KINDS.items()) + " end"
 NUMBERED = "case kind " + " ".join(f"when {KINDS[s.name]} then {s.number}" for s in SECTIONS) + " end"
 
+DB = "case when database_name = '' then 'x' else database_name end"
 _U, _S = "usage", "size"
-_FULL_INDEX = f"' | ' || database_name || ' | dbo.T' || k || ' | ix' || k || ' | ' || {_U} || ' | ' || {_S} || ' | ' || definition || ' | '"
-_KEYS = f"'|' || database_name || ' | dbo.T' || k || '.ix' || k || '  | ' || definition || ' | ' || secret_columns || ' | ' || {_U} || ' | ' || {_S} || ' | '"
+_FULL_INDEX = f"' | ' || {DB} || ' | dbo.T' || k || ' | ix' || k || ' | ' || {_U} || ' | ' || {_S} || ' | ' || definition || ' | '"
+_KEYS = f"'|' || {DB} || ' | dbo.T' || k || '.ix' || k || '  | ' || definition || ' | ' || secret_columns || ' | ' || {_U} || ' | ' || {_S} || ' | '"
 LINES = {
-    "many_nc": "'|' || database_name || ' | dbo.T' || k || '  | 1' || (100 + n1) || ' | ' || usage || ' | ' || size || ' | '",
+    "many_nc": f"'|' || {DB} || ' | dbo.T' || k || '  | 1' || (100 + n1) || ' | ' || usage || ' | ' || size || ' | '",
     "duplicate_keys": _KEYS,
     "borderline_keys": _KEYS,
-    "missing_index": "' | ' || database_name || ' | dbo.T' || k || ' | ' || n2 || '.1234 | ' || n1 || '.' || (n2 % 10) || '% | 1' || (100 + n1) || ' | ' || size || ' | plan_' || k || '.sqlplan | CREATE ' || case when n1 % 2 = 0 then 'UNIQUE ' else '' end || 'INDEX [ix' || k || '] ON [' || database_name || '].[dbo].[T' || k || '] ([a]); | '",
-    "forwarded_fetches": "'|' || database_name || ' | dbo.T' || k || ' | ' || usage || ' | 2,' || (100 + n1) || ' |' || size || ' | '",
-    "heap_deletes": "'|' || database_name || ' | dbo.T' || k || ' | ' || usage || ' | 3,' || (100 + n1) || ' |' || size || ' | '",
-    "active_heaps": f"'|' || database_name || ' | dbo.T' || k || ' | ' || {HEAP} || ' | ' || usage || ' | ' || size || ' | '",
-    "heap_nc_pk": "'|' || database_name || ' | dbo.T' || k || '.ix' || k || '  | ' || definition || ' | ' || usage || ' | ' || size || ' | '",
+    "missing_index": f"' | ' || {DB} || ' | dbo.T' || k || ' | ' || n2 || '.1234 | ' || n1 || '.' || (n2 % 10) || '% | 1' || (100 + n1) || ' | ' || size || ' | plan_' || k || '.sqlplan | CREATE ' || case when n1 % 2 = 0 then 'UNIQUE ' else '' end || 'INDEX [ix' || k || '] ON [' || database_name || '].[dbo].[T' || k || '] ([a]); | '",
+    "forwarded_fetches": f"'|' || {DB} || ' | dbo.T' || k || ' | ' || usage || ' | 2,' || (100 + n1) || ' |' || size || ' | '",
+    "heap_deletes": f"'|' || {DB} || ' | dbo.T' || k || ' | ' || usage || ' | 3,' || (100 + n1) || ' |' || size || ' | '",
+    "active_heaps": f"'|' || {DB} || ' | dbo.T' || k || ' | ' || {HEAP} || ' | ' || usage || ' | ' || size || ' | '",
+    "heap_nc_pk": f"'|' || {DB} || ' | dbo.T' || k || '.ix' || k || '  | ' || definition || ' | ' || usage || ' | ' || size || ' | '",
     "nc_high_writes": _FULL_INDEX,
-    "wide_indexes": "'|' || database_name || ' | dbo.T' || k || ' | ix' || k || ' | ' || usage || ' | ' || size || ' | ' || n1 || ' | ' || definition || ' | '",
-    "wide_clustered": "'|' || database_name || ' | dbo.T' || k || ' | pk' || k || ' | ' || n1 || ' | ' || n2 || ' | ' || size || ' | ' || definition || ' | '",
-    "unindexed_fk": "'|' || database_name || ' | Foreign key [fk' || k || '] on [dbo.T' || k || '] has no supporting index. | '",
-    "wide_tables": "'|' || database_name || ' | dbo.T' || k || ' | ' || n1 || ' | ' || case when n1 % 2 = 0 then '' || (n1 % 7) else '' end || ' |  ' || (n2 * 100) || ' | ' || usage || ' | ' || size || ' | '",
-    "addicted_to_nulls": "'|' || database_name || ' | dbo.T' || k || ' | ' || (n1 + n2) || ' | ' || n1 || ' | ' || usage || ' | ' || size || ' | '",
+    "wide_indexes": f"'|' || {DB} || ' | dbo.T' || k || ' | ix' || k || ' | ' || usage || ' | ' || size || ' | ' || n1 || ' | ' || definition || ' | '",
+    "wide_clustered": f"'|' || {DB} || ' | dbo.T' || k || ' | pk' || k || ' | ' || n1 || ' | ' || n2 || ' | ' || size || ' | ' || definition || ' | '",
+    "unindexed_fk": f"'|' || {DB} || ' | Foreign key [fk' || k || '] on [dbo.T' || k || '] has no supporting index. | '",
+    "wide_tables": f"'|' || {DB} || ' | dbo.T' || k || ' | ' || n1 || ' | ' || case when n1 % 2 = 0 then '' || (n1 % 7) else '' end || ' |  ' || (n2 * 100) || ' | ' || usage || ' | ' || size || ' | '",
+    "addicted_to_nulls": f"'|' || {DB} || ' | dbo.T' || k || ' | ' || (n1 + n2) || ' | ' || n1 || ' | ' || usage || ' | ' || size || ' | '",
     "non_unique_cx": _FULL_INDEX,
 }
 DERIVED = {
@@ -74,9 +73,9 @@ NUMBER_KEYS = {"many_nc": ["1100 + n1"], "missing_index": ["n2 * 10000 + 1234",
                "forwarded_fetches": ["2100 + n1"], "heap_deletes": ["3100 + n1"], "wide_indexes": ["n1"],
                "wide_clustered": ["n2"], "wide_tables": ["n2 * 100"], "addicted_to_nulls": ["n1"]}
 NUMBER_SCALES = {"missing_index": ["0.0001", "0.1", "1"]}
-TEXT_KEYS = {"duplicate_keys": ["database_name", "details"], "borderline_keys": ["database_name", "details"],
-             "active_heaps": [FINDING, "database_name"], "unindexed_fk": ["database_name"],
-             "wide_tables": ["database_name"], "addicted_to_nulls": ["database_name"]}
+TEXT_KEYS = {"duplicate_keys": [DB, "details"], "borderline_keys": [DB, "details"],
+             "active_heaps": [FINDING, DB], "unindexed_fk": [DB],
+             "wide_tables": [DB], "addicted_to_nulls": [DB]}
 
 
 def _titles(name: str) -> list[tuple[str, str]]:
@@ -150,22 +149,29 @@ def _usage_sql(columns: str, tail: str = "") -> str:
             f"u as (select k // {USAGE_KEYS} as report_id, {values} from o) select {columns} from u {tail}")
 
 
+# Fixed values, held here too so that a typing error in the library shows.
+REPLACED = (('<a href="#top">Jump to top</a>', ""), ("<br>", ""), ("<td></td>", "<td>x</td>"), ('<link rel="stylesheet" href="styles.css">', ""),
+            ('<input type="text" id="SearchBox" class="SearchBox" onkeyup="SearchIndexUsage()" placeholder=" Filter by object name...">', ""),
+            ("<table id='IndexUsgTable' class='IndexUsageTable sortable'>", "<table>"))
+
+
 def _cleaned(column: str) -> str:
-    for old, new in USAGE_REPLACEMENTS:
+    for old, new in REPLACED:
         column = f"replace({column}, {quoted(old)}, {quoted(new)})"
     return column
 
 
-def _derive_sql(where: str, columns: str) -> str:
-    return f"{D} select k, {columns} from d where {where}"
+def _derive_sql(columns: str) -> str:
+    return f"{D} select k, {columns} from d"
 
 
 PRIORITY_ORDER = "order by priority, finding, k"
 ORACLES: dict[str, str] = {
-    "clean_pages": f"select page_id, length(c) as n_chars, (length(c) - length(replace(c, '<br>', ''))) // 4 as "
-                   f"n_breaks from (select page_id, {_cleaned('html')} as c from pages)",
+    "clean_pages": f"select page_id, length(c) as n_chars, sha256(c) as digest "
+                   f"from (select page_id, {_cleaned('html')} as c from pages)",
     "read_documents": f"{D} select report_id, count(*) as n_rows from d group by 1",
-    "read_split_rows": "select l_orderkey, l_linenumber from lineitem",
+    "read_split_rows": "select l_orderkey, l_linenumber, l_partkey, nullif(l_returnflag, 'N') as l_returnflag "
+                       "from lineitem",
     "shred_counts": f"{D} select report_id, 'page' || lpad(cast(k // {PAGE_KEYS} as varchar), 12, '0') as source_path, "
                     "count(*) as n_rows, count(*) as last_row, cast(11 as bigint) as n_cells from d group by 1, 2",
     "shred_diagnosis": f"{D} select report_id, {CELLS} from d",
@@ -179,6 +185,9 @@ ORACLES: dict[str, str] = {
                                     "group by 1"),
     "usage_sums": _usage_sql("report_id, " + ", ".join(
         f"cast(sum(cast({c} as decimal(38,2))) as decimal(38,2)) as {c}" for c in NUMERIC), "group by 1"),
+    "unconverted": "select o_orderkey * 1000003 as big, case when o_orderkey % 3 <> 0 then cast(cast(o_orderdate as date) as timestamp) end "
+                   "as day, case when o_orderkey % 4 <> 0 then cast(o_orderkey % 100 as integer) end as small, concat_ws(',', "
+                   "case when o_orderkey % 3 = 0 then '2' end, case when o_orderkey % 4 = 0 then '3' end) as failed from orders",
     "load_append": f"select o_orderkey // {USAGE_KEYS} as report_id, 2 * count(*) as n_rows, "
                    "cast(2 * sum(o_orderkey) as bigint) as sum_index_id from orders group by 1",
     "load_replace": "select load_id, count(*) as n_rows from orders, (values ('monday'), ('tuesday')) l(load_id) "
@@ -188,24 +197,24 @@ ORACLES: dict[str, str] = {
     "row_id": f"{D} select report_id, row_number() over (partition by report_id {PRIORITY_ORDER}) as id, priority, "
               "finding, details from d",
     "row_id_global": f"{D} select k, priority, finding, row_number() over ({PRIORITY_ORDER}) as id from d",
-    "derive_T1": _derive_sql("true", f"{TABLE_SHOWN} as table_name"),
-    "derive_T2": _derive_sql("kind = 12", f"n1, {PREP} as data_prep"),
-    "derive_T3": _derive_sql("kind in (12, 0)", f"kind, {PREP} as data_prep"),
-    "derive_T4": _derive_sql("kind = 13", f"{PREP} as data_prep"),
-    "derive_T5": _derive_sql("kind = 10", f"{PREP} as data_prep"),
-    "derive_T6": _derive_sql("kind = 3", f"{PREP} as data_prep"),
-    "derive_T7": _derive_sql("kind = 9", f"{PREP} as data_prep"),
-    "derive_T8": _derive_sql("kind in (0, 7, 10, 14)", f"kind, {OBJECT} as object_name"),
-    "derive_T9": _derive_sql("true", f"{OBJECT} as object_name"),
-    "derive_T10": _derive_sql("kind = 11", "'dbo.T' || k as table_name, 'fk' || k as object_name"),
-    "derive_T11": _derive_sql("kind in (6, 7)", f"kind, {FINDING} as finding"),
+    "derive_T1": _derive_sql(f"{TABLE_SHOWN} as table_name"),
+    "derive_T2": _derive_sql(f"n1, {PREP} as data_prep"),
+    "derive_T3": _derive_sql(f"kind, {PREP} as data_prep"),
+    "derive_T4": _derive_sql(f"{PREP} as data_prep"),
+    "derive_T5": _derive_sql(f"n2, {PREP} as data_prep"),
+    "derive_T6": _derive_sql(f"priority, {PREP} as data_prep"),
+    "derive_T7": _derive_sql(f"report_id, {PREP} as data_prep"),
+    "derive_T8": _derive_sql(f"kind, {OBJECT} as object_name"),
+    "derive_T9": _derive_sql(f"{OBJECT} as object_name"),
+    "derive_T10": _derive_sql(f"{TABLE_SHOWN} as table_name, {OBJECT} as object_name"),
+    "derive_T11": _derive_sql(f"kind, {FINDING} as finding"),
     "scalar_text": f"{D} select k, '1,' || (100 + n2) || ' rows' as text_before, '1,' || (100 + n2) || ' ' as "
                    "text_through, '' as text_through_none, n1 || 'MB' as text_after_last, '' || n1 as text_between, "
-                   "case when kind = 11 then '' else 'db' || (k % 5) || ''', @SchemaName=''dbo'', @TableName=''T' || k "
+                   "case when kind = 11 then '' else database_name || ''', @SchemaName=''dbo'', @TableName=''T' || k "
                    "|| ''';' end as text_tail, '1,' || (100 + n2) || ' lines; ' || n1 || 'MB' as swapped, cast(11 as bigint) as place, "
                    "1100 + n2 as n, cast(null as integer) as not_a_number, case when n1 % 4 = 0 then 'x' else "
-                   "secret_columns end as shown, lower(finding) as lowered, case when n1 % 4 = 0 then null else 'db' || "
-                   "(k % 5) || '.[1 KEY] max' || n2 end as joined from d",
+                   "secret_columns end as shown, lower(finding) as lowered, case when n1 % 4 = 0 then null else "
+                   "database_name || '.[1 KEY] max' || n2 end as joined from d",
     "section_counts": f"{D} select report_id, section, n from {COUNTS}",
     "classify_rows": f"{D} select k, case kind when 15 then 'collation' else {NAMED} end as section from d where kind < 16",
     "catalog_titles": f"{D} select section, n, short_title from (select {NAMED} as section, count(*) as n from d where "
@@ -222,6 +231,6 @@ ORACLES: dict[str, str] = {
     "report_lines": f"{D}, r as ({REPORT}) select report_id, row_number() over (partition by report_id order by "
                     f"{LINE_ORDER}) as line_no, section, markdown_info from r",
     "report_from_documents": f"{D}, r as ({REPORT}) select report_id, section, priority, markdown_info from r",
-    "markdown_files": f"{D}, r as ({REPORT}) select report_id, count(*) as n_lines, cast(sum(length(markdown_info)) as "
-                      "bigint) as n_chars from r group by 1",
+    "markdown_files": f"{D}, r as ({REPORT}) select report_id, row_number() over (partition by report_id order by "
+                      f"{LINE_ORDER}) as line_no, markdown_info from r",
 }

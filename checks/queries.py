@@ -12,15 +12,15 @@ from reportloom.functions import text as tx
 from reportloom.operators import derive as dv
 from reportloom.operators import report as rp
 from reportloom.operators.classify import classify
-from reportloom.operators.markup import USAGE_REPLACEMENTS, clean_markup
+from reportloom.operators.markup import USAGE_REPLACEMENTS, clean_markup, typed
 from reportloom.operators.numbering import number_rows, with_row_id
 from reportloom.plans import diagnosis as dg
 from reportloom.plans.sections import BY_NAME, SECTIONS
 from reportloom.plans.usage import checked, shredded, sound_rows, usage_rows
-from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS, USAGE_TABLE_DDL
+from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS, USAGE_TABLE_DDL, Field
 from reportloom.sources import tables
 from reportloom.sources.catalog import load_catalog
-from reportloom.sources.markdown import write_markdown
+from reportloom.sources.markdown import read_lines, write_markdown
 from reportloom.sources.reports import read_report_rows, read_reports
 from reportloom.sources.scratch import fresh_path, materialise
 from reportloom.streaming.arrivals import arriving_reports, load_arrivals
@@ -34,8 +34,7 @@ DIAGNOSIS_CELLS = [f.name for f in DIAGNOSIS_FIELDS]
 def clean_pages(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages").select("page_id", "html")
     return clean_markup(pages, "html", USAGE_REPLACEMENTS).select(
-        "page_id", F.length("html").cast("bigint").alias("n_chars"),
-        F.regexp_count("html", F.lit("<br>")).cast("bigint").alias("n_breaks"))
+        "page_id", F.length("html").cast("bigint").alias("n_chars"), F.sha2("html", 256).alias("digest"))
 
 
 def _written_documents(spark, sf_dir) -> str:
@@ -60,8 +59,7 @@ def read_split_rows(spark, sf_dir):
     fx.line_documents(spark, sf_dir).select("html").write.text(path)
     # Every file holds many documents; take each as one report whose tables follow one another.
     rows = checked(read_report_rows(spark, path, id_pattern=r"(part-\d+)", all_tables=True))
-    return rows.select(F.get("cells", F.lit(0)).try_cast("bigint").alias("l_orderkey"),
-                       F.get("cells", F.lit(1)).try_cast("int").alias("l_linenumber"))
+    return _line(rows)
 
 
 def shred_counts(spark, sf_dir):
@@ -136,6 +134,20 @@ def _usage_load(spark, sf_dir) -> DataFrame:
     return usage_rows(shredded(docs, USAGE_FIELDS))
 
 
+ODD_FIELDS = (Field(1, "big", "Big", "bigint"), Field(2, "day", "Day", "timestamp_ntz"), Field(3, "small", "Small", "int"))
+
+
+def unconverted(spark, sf_dir):
+    """Numbers with separators are read; days that are none and numbers that are too large are marked."""
+    orders = fx.table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "cast(o_orderdate as timestamp_ntz) as d")
+    cells = ["format_number(k * 1000003, 0)", "if(k % 3 = 0, 'no day', date_format(d, 'yyyy-MM-dd'))",
+             "if(k % 4 = 0, '99999999999', string(k % 100))"]
+    rows = orders.withColumn("report_id", F.floor(F.col("k") / fx.USAGE_KEYS))
+    docs = fx.documents(rows, ["report_id"], "k", fx.row_markup([F.expr(c) for c in cells]), [f.title for f in ODD_FIELDS])
+    found = typed(shredded(docs, ODD_FIELDS), ODD_FIELDS, [], failed="failed")
+    return found.select("big", "day", "small", F.array_join("failed", ",").alias("failed"))
+
+
 def load_append(spark, sf_dir):
     """Two appends double the rows, and creating the table again leaves it alone."""
     name, rows = _load_table(spark, "append"), _usage_load(spark, sf_dir).withColumn("load_id", F.lit("a"))
@@ -187,10 +199,10 @@ def _derived(spark, sf_dir) -> DataFrame:
     return dv.derive(fx.diagnosis(spark, sf_dir))
 
 
-def _derivation(kinds: tuple[int, ...] | None, *columns: str) -> Query:
+def _derivation(*columns: str) -> Query:
+    """All rows, so that those which a rule must leave alone are compared too."""
     def query(spark, sf_dir):
-        rows = _derived(spark, sf_dir)
-        return (rows if kinds is None else rows.where(F.col("kind").isin(*kinds))).select("k", *columns)
+        return _derived(spark, sf_dir).select("k", *columns)
     return query
 
 
@@ -220,7 +232,7 @@ def classify_rows(spark, sf_dir):
 def catalog_titles(spark, sf_dir):
     titles = rp.section_titles(load_catalog(spark))
     counts = classify(fx.diagnosis(spark, sf_dir).select("priority", "finding"), SECTIONS).groupBy("section").count()
-    return counts.join(F.broadcast(titles), "section", "left").select(
+    return counts.join(titles, "section", "left").select(
         "section", F.col("count").alias("n"), F.inline("titles")).drop("description")
 
 
@@ -268,11 +280,12 @@ def report_from_documents(spark, sf_dir):
 
 
 def markdown_files(spark, sf_dir):
-    """The documents as files, read back."""
+    """The documents as files, read back: every line at its place."""
     path = fresh_path(spark, "documents")
     write_markdown(report_full(spark, sf_dir), path, rp.report_order())
-    return spark.read.text(path).groupBy(F.col("report_id").cast("bigint").alias("report_id")).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value").cast("bigint")).alias("n_chars"))
+    lines = read_lines(spark, path).withColumn("report_id", F.col("report_id").cast("bigint"))
+    numbered = number_rows(lines, [F.asc("file"), F.asc("block"), F.asc("line")], within=["report_id"], name="line_no")
+    return numbered.select("report_id", "line_no", "markdown_info")
 
 
 QUERIES: dict[str, Query] = {
@@ -287,22 +300,23 @@ QUERIES: dict[str, Query] = {
     "usage_projection": usage_projection,
     "usage_null_counts": usage_null_counts,
     "usage_sums": usage_sums,
+    "unconverted": unconverted,
     "load_append": load_append,
     "load_replace": load_replace,
     "load_stream": load_stream,
     "row_id": row_id,
     "row_id_global": row_id_global,
-    "derive_T1": _derivation(None, "table_name"),
-    "derive_T2": _derivation((12,), "n1", "data_prep"),
-    "derive_T3": _derivation((12, 0), "kind", "data_prep"),
-    "derive_T4": _derivation((13,), "data_prep"),
-    "derive_T5": _derivation((10,), "data_prep"),
-    "derive_T6": _derivation((3,), "data_prep"),
-    "derive_T7": _derivation((9,), "data_prep"),
-    "derive_T8": _derivation((0, 7, 10, 14), "kind", "object_name"),
-    "derive_T9": _derivation(None, "object_name"),
-    "derive_T10": _derivation((11,), "table_name", "object_name"),
-    "derive_T11": _derivation((6, 7), "kind", "finding"),
+    "derive_T1": _derivation("table_name"),
+    "derive_T2": _derivation("n1", "data_prep"),
+    "derive_T3": _derivation("kind", "data_prep"),
+    "derive_T4": _derivation("data_prep"),
+    "derive_T5": _derivation("n2", "data_prep"),
+    "derive_T6": _derivation("priority", "data_prep"),
+    "derive_T7": _derivation("report_id", "data_prep"),
+    "derive_T8": _derivation("kind", "object_name"),
+    "derive_T9": _derivation("object_name"),
+    "derive_T10": _derivation("table_name", "object_name"),
+    "derive_T11": _derivation("kind", "finding"),
     "scalar_text": scalar_text,
     "section_counts": section_counts,
     "classify_rows": classify_rows,

@@ -23,7 +23,6 @@ SEARCH_BOX = ('<input type="text" id="SearchBox" class="SearchBox" onkeyup="Sear
               'placeholder=" Filter by object name...">', "")
 USAGE_TABLE = ("<table id='IndexUsgTable' class='IndexUsageTable sortable'>", "<table>")
 USAGE_REPLACEMENTS = (TOP_LINK, LINE_BREAK, EMPTY_CELL, STYLESHEET, SEARCH_BOX, USAGE_TABLE)
-DIAGNOSIS_REPLACEMENTS = (TOP_LINK, LINE_BREAK, EMPTY_CELL)
 
 TABLE = r"(?is)<table\b.*?</table\s*>"
 TABLE_END = r"(?i)</table\b"
@@ -111,12 +110,14 @@ def cells(rows: DataFrame, tr: str = "tr") -> DataFrame:
     return read.select(*rows.columns, F.inline(F.array(result)))
 
 
-def typed(rows: DataFrame, fields: Sequence[Field], keep: Sequence[str], empty_as_null: bool = True) -> DataFrame:
+def typed(rows: DataFrame, fields: Sequence[Field], keep: Sequence[str], empty_as_null: bool = True,
+          failed: str | None = None) -> DataFrame:
     """Binds cells to columns by position and converts them.
 
     A cell beyond the end of its row is NULL. Blank text is NULL as well, or stays empty text when
-    ``empty_as_null`` is off; blank numbers and dates are NULL in both cases. Blanks and dates are each settled by
-    one pass over an array, which keeps a sixty-column projection small.
+    ``empty_as_null`` is off; blank numbers and dates are NULL in both cases. Numbers may have thousands separators.
+    ``failed`` names a column for the positions of cells that hold something which does not convert; they are NULL.
+    Blanks and dates are each settled by one pass over an array, which keeps a sixty-column projection small.
     """
     kept = [f for f in fields if f.kept]
     dates = [f for f in kept if f.type == "timestamp_ntz"]
@@ -130,6 +131,16 @@ def typed(rows: DataFrame, fields: Sequence[Field], keep: Sequence[str], empty_a
         if field in dates:
             return F.get("_dates", F.lit(dates.index(field))).alias(field.name)
         text = F.get("_texts", F.lit(field.position - 1))
-        return (text if field.type == "string" else text.try_cast(field.type)).alias(field.name)
+        if field.type != "string":
+            text = F.replace(text, F.lit(","), F.lit("")).try_cast(field.type)
+        return text.alias(field.name)
 
-    return found.select(*keep, *[column(f) for f in kept])
+    if failed is None:
+        return found.select(*keep, *[column(f) for f in kept])
+
+    def unread(field: Field) -> Column:
+        """NULL text makes the first comparison NULL, which counts as converted."""
+        return F.when((F.get("_texts", F.lit(field.position - 1)) != "") & F.col(field.name).isNull(), field.position)
+
+    marks = F.array_compact(F.array(*[unread(f) for f in kept if f.type != "string"])).cast("array<int>").alias(failed)
+    return found.select(*keep, "_texts", *[column(f) for f in kept]).select(*keep, marks, *[f.name for f in kept])

@@ -33,7 +33,7 @@ def section_counts(diagnosis: DataFrame, sections: Sequence[Section] = SECTIONS)
 def section_titles(catalog: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
     """``section, titles``: the distinct title and description pairs of the catalog rows a section stands for.
 
-    One row per section, so always small enough to broadcast.
+    One row per section; how it is joined is left to Spark, which knows the catalog's size.
     """
     pair = F.struct("short_title", "description")
     return classify(catalog, sections).groupBy("section").agg(F.sort_array(F.collect_set(pair)).alias("titles"))
@@ -57,7 +57,7 @@ def preamble(counts: DataFrame, catalog: DataFrame, sections: Sequence[Section]
     titles = "coalesce(titles, array())"
     lines = F.expr(f"concat(transform({titles}, t -> {line(TITLE, "concat(' ', t.short_title)")}), "
                    f"transform({titles}, t -> {line(TEXT, 't.description')}), array({', '.join(fixed)}))")
-    joined = counts.join(F.broadcast(section_titles(catalog, sections)), "section", "left")
+    joined = counts.join(section_titles(catalog, sections), "section", "left")
     return joined.select("report_id", "section_no", "section", F.inline(lines))
 
 

@@ -9,19 +9,18 @@ from reportloom.operators.derive import derive
 from reportloom.operators.markup import typed
 from reportloom.operators.numbering import with_row_id
 from reportloom.operators.report import findings_report, report_order
-from reportloom.plans.usage import ORIGIN, read_split
+from reportloom.plans.usage import FAILED, ORIGIN, read_split
 from reportloom.schema import DIAGNOSIS_FIELDS, DIAGNOSIS_TABLE_DDL
 from reportloom.sources.catalog import load_catalog
 from reportloom.sources.markdown import write_markdown
+from reportloom.sources.scratch import scratch_table
 from reportloom.sources.tables import ensure_table, replace_load
 
-CATALOG_ROWS = 10_000
-
 
 def diagnosis_rows(split: DataFrame, databases: str | None = None) -> DataFrame:
     """Typed rows with empty text kept. ``databases`` keeps databases whose name starts so, and all problem rows."""
     sound = split.withColumn("cells", F.when(F.col("problem").isNull(), F.col("cells")))
-    rows = typed(sound, DIAGNOSIS_FIELDS, [c for c in ORIGIN if c in split.columns], empty_as_null=False)
+    rows = typed(sound, DIAGNOSIS_FIELDS, [c for c in ORIGIN if c in split.columns], empty_as_null=False, failed=FAILED)
     if databases is None:
         return rows
     return rows.where(f"{starts_with('database_name', databases)} OR problem IS NOT NULL")
@@ -40,19 +39,24 @@ def prepared(rows: DataFrame) -> DataFrame:
 
 def load_diagnosis(spark: SparkSession, path: str, table: str, load_id: str, databases: str | None = None,
                    location: str | None = None, **reading) -> None:
-    """Loads the reports under a path as one load: one shuffle, for the row numbers."""
+    """Loads the reports under a path as one load.
+
+    The typed rows are written once: numbering needs them twice, and markup should be read and parsed once only.
+    """
     ensure_table(spark, table, DIAGNOSIS_TABLE_DDL, location=location)
     rows = diagnosis_rows(read_split(spark, path, DIAGNOSIS_FIELDS, **reading), databases)
-    replace_load(prepared(rows), table, load_id)
+    with scratch_table(rows) as read:
+        replace_load(prepared(read), table, load_id)
 
 
-def write_findings(diagnosis: DataFrame, path: str, catalog: DataFrame | None = None) -> None:
-    """Writes the findings document of every report in a loaded table.
+def per_load(diagnosis: DataFrame) -> DataFrame:
+    """A loaded table whose reports are named ``load/report``, since row numbers are only unique within a load."""
+    return diagnosis.withColumn("report_id", F.concat_ws("/", "load_id", "report_id"))
 
-    Section titles are broadcast, so a catalog of one's own must stay small.
-    """
-    if catalog is None:
-        catalog = load_catalog(diagnosis.sparkSession)
-    elif catalog.limit(CATALOG_ROWS + 1).count() > CATALOG_ROWS:
-        raise ValueError(f"a findings catalog holds at most {CATALOG_ROWS} rows")
-    write_markdown(findings_report(diagnosis, catalog), path, report_order())
+
+def write_findings(diagnosis: DataFrame, path: str, catalog: DataFrame | None = None) -> None:
+    """Writes the findings documents of a loaded table: one for each report and load, or each report if it has no loads."""
+    if "load_id" in diagnosis.columns:
+        diagnosis = per_load(diagnosis)
+    report = findings_report(diagnosis, load_catalog(diagnosis.sparkSession) if catalog is None else catalog)
+    write_markdown(report, path, report_order())

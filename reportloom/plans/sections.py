@@ -46,7 +46,7 @@ class Section:
         return f"concat({literal(self.lead)}, {parts}, ' | ')"
 
 
-PRINTED = ("definition", "usage", "size", "table_name", "sample_plan_file")
+PRINTED = ("database_name", "details", "definition", "usage", "size", "table_name", "object_name", "sample_plan_file")
 
 
 def printable(diagnosis: DataFrame) -> DataFrame:

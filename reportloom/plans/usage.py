@@ -10,6 +10,7 @@ from reportloom.sources.reports import WHOLE_FILE_LIMIT, read_report_rows, read_
 from reportloom.sources.tables import ensure_table, replace_load
 
 ORIGIN = ["report_id", "source_path", "row_pos", "problem", "raw_row"]
+FAILED = "failed_cells"
 
 
 def checked(rows: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def shredded(docs: DataFrame, fields: tuple[Field, ...], check_headings: bool =
 def usage_rows(split: DataFrame) -> DataFrame:
     """Typed inventory rows; a row with a problem keeps its origin and raw text and NULL columns otherwise."""
     sound = split.withColumn("cells", F.when(F.col("problem").isNull(), F.col("cells")))
-    return typed(sound, USAGE_FIELDS, [c for c in ORIGIN if c in split.columns])
+    return typed(sound, USAGE_FIELDS, [c for c in ORIGIN if c in split.columns], failed=FAILED)
 
 
 def read_split(spark: SparkSession, path: str, fields: tuple[Field, ...], check_headings: bool = True,

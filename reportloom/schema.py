@@ -110,8 +110,9 @@ DIAGNOSIS_DERIVED = (("table_name", "string"), ("data_prep", "string"), ("object
 
 CATALOG_DDL = "priority smallint, finding string, url string, short_title string, description string"
 
-# Where a loaded row came from, its number within the report, and what was wrong with it, if anything.
-ORIGIN_DDL = "report_id string, source_path string, row_pos bigint, problem string, raw_row string"
+# Where a loaded row came from, its number within the report, what was wrong with it, if anything, and the positions of
+# cells that did not convert.
+ORIGIN_DDL = "report_id string, source_path string, row_pos bigint, problem string, raw_row string, failed_cells array<int>"
 
 
 def _ddl(fields) -> str:

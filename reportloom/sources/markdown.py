@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+INDEX = "_reports"  # readers of the documents pass over names that start so
+
+
+def folder_of(report_id: Column) -> Column:
+    """A short folder name for an id of any length, which may be a whole path. Never NULL."""
+    return F.md5(F.coalesce(report_id.cast("string"), F.lit("")))
 
 
 def write_markdown(report: DataFrame, path: str, order) -> None:
-    """One folder per report; its files, read in name order, are the document.
+    """One folder per report, named by a digest of its id; its files, read in name order, are the document.
 
-    One range sort over all reports. A large report spans several ranges and so several files, and the sort already
-    puts the reports of a task one after the other, which is what writing by partition needs.
+    ``read_index`` tells which folder is which report's. One range sort over all reports: a large report spans several
+    ranges and so several files, and the sort already puts the reports of a task one after the other, which is what
+    writing by partition needs. The folder comes first in the sort, or the writer would sort again and lose the order.
     """
-    # Text partition values that may be NULL would be wrapped, and the sort order with them, so close that off.
-    name = F.coalesce(F.col("report_id").cast("string"), F.lit("unnamed"))
-    (report.withColumn("report_id", name).orderBy(*order).select("report_id", "markdown_info")
-     .write.partitionBy("report_id").text(path))
+    (report.withColumn("folder", folder_of(F.col("report_id"))).orderBy("folder", *order)
+     .select("folder", "markdown_info").write.partitionBy("folder").text(path))
+    ids = report.select("report_id").distinct()
+    ids.select(folder_of(F.col("report_id")).alias("folder"), "report_id").write.parquet(f"{path.rstrip('/')}/{INDEX}")
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """``folder, report_id`` of the documents under a path."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{INDEX}")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``report_id, file, block, line, markdown_info``: the documents' lines, in order by file, block and line."""
+    lines = spark.read.text(path).select(
+        "folder", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), F.col("value").alias("markdown_info"))
+    return lines.join(read_index(spark, path), "folder").drop("folder")

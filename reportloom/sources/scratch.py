@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the frame and reads it back: later passes read columns, and losing an executor recomputes nothing."""
-    path = fresh_path(df.sparkSession, "table")
+    path = path or fresh_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
+    """``materialise`` for as long as a block lasts. Its folder is removed when the block ends, after a failure too."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "table")
+    try:
+        yield materialise(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

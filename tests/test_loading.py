@@ -72,6 +72,8 @@ def test_usage_load(spark, tmp_path):
     assert first.index_id == 5 and first.rows == 38 and str(first.reserved_mb) == "39.00"
     assert str(first.modify_date) == "2025-02-14 13:02:03" and first.is_disabled == "24"
     assert texts.database == "x" and texts.filter_definition == "x" and texts.rows is None
+    assert texts.failed_cells == [f.position for f in USAGE_FIELDS if f.type != "string"]
+    assert first.failed_cells == empty.failed_cells == []
     assert all(empty[f.name] is None for f in USAGE_FIELDS if f.kept)
     assert "is_in_memory_oltp" not in spark.table("usage_load").columns
 
@@ -79,7 +81,7 @@ def test_usage_load(spark, tmp_path):
 def test_tables(spark, tmp_path):
     for _ in range(2):
         tables.ensure_table(spark, "kept", DIAGNOSIS_TABLE_DDL, location=str(tmp_path / "k"))
-        rows = spark.createDataFrame([tuple([None] * 6 + [1] + [None] * 13 + ["a"])], spark.table("kept").schema)
+        rows = spark.createDataFrame([tuple([None] * 7 + [1] + [None] * 13 + ["a"])], spark.table("kept").schema)
         tables.append(rows, "kept")
     assert spark.table("kept").count() == 2
     tables.replace_load(rows, "kept", "a'b")

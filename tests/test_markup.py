@@ -69,9 +69,9 @@ def test_missing_and_blank_cells(spark):
     rows = spark.createDataFrame([(["7", " \t"],), (["", "x"],), (["1,5"],), (["3000000000", "a"],), (None,)],
                                  "cells array<string>")
     assert [tuple(r) for r in typed(rows, TWO, []).collect()] == [
-        (7, None), (None, "x"), (None, None), (None, "a"), (None, None)]
-    assert [tuple(r) for r in typed(rows, TWO, [], empty_as_null=False).collect()] == [
-        (7, ""), (None, "x"), (None, None), (None, "a"), (None, None)]
+        (7, None), (None, "x"), (15, None), (None, "a"), (None, None)]
+    assert [tuple(r) for r in typed(rows, TWO, [], empty_as_null=False, failed="f").collect()] == [
+        ([], 7, ""), ([], None, "x"), ([], 15, None), ([1], None, "a"), ([], None, None)]
 
 
 def test_replacements_in_order(spark):

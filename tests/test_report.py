@@ -8,6 +8,7 @@ from reportloom.operators.classify import classify
 from reportloom.plans.diagnosis import write_findings
 from reportloom.plans.sections import BY_NAME, SECTIONS, overflow_text
 from reportloom.sources.catalog import CATALOG, load_catalog
+from reportloom.sources.markdown import read_index, read_lines
 
 COLUMNS = ["report_id", "id", "priority", "finding", "database_name", "details", "definition", "secret_columns",
            "usage", "size", "create_tsql", "sample_plan_file", "table_name", "data_prep", "object_name"]
@@ -140,8 +141,9 @@ def test_documents_are_written_in_order_even_for_a_large_report(spark, tmp_path)
         write_findings(data, str(tmp_path / "documents"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    folders = {r.report_id: r.folder for r in read_index(spark, str(tmp_path / "documents")).collect()}
     for report, count in (("big", 2005), ("a", 8), ("b", 8)):
-        files = sorted(Path(tmp_path, "documents", f"report_id={report}").glob("part-*"))
+        files = sorted(Path(tmp_path, "documents", f"folder={folders[report]}").glob("part-*"))
         text = [line for file in files for line in file.read_text().splitlines()]
         expected = (rp.findings_report(data, load_catalog(spark)).where(F.col("report_id") == report)
                     .orderBy(*rp.report_order()).collect())
@@ -149,6 +151,17 @@ def test_documents_are_written_in_order_even_for_a_large_report(spark, tmp_path)
         assert len(files) > 1 or report != "big"
 
 
+def test_a_report_of_two_loads_gives_two_documents_under_any_id(spark, tmp_path):
+    long_id = "file:/" + "folder with blanks/" * 30 + "a.html"
+    data = frame(spark, *[row(long_id, id=i, database_name="") for i in range(3)])
+    both = data.withColumn("load_id", F.lit("one")).union(data.withColumn("load_id", F.lit("two")))
+    write_findings(both, str(tmp_path / "documents"))
+    found = read_lines(spark, str(tmp_path / "documents")).collect()
+    counts = {i: sum(r.report_id == i for r in found) for i in {r.report_id for r in found}}
+    assert counts == {f"one/{long_id}": 8, f"two/{long_id}": 8}
+    assert any(r.markdown_info.startswith("|x | ") for r in found)
+
+
 def test_counts_read_three_columns_and_sections_are_broadcast(spark, tmp_path):
     path = str(tmp_path / "d")
     frame(spark, row()).write.parquet(path)

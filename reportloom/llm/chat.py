@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Escapes, applied in this order and undone in reverse: every control string and placeholder begins with <|.
@@ -75,21 +75,22 @@ def format_chats(messages: DataFrame, trained_role: str = "assistant") -> DataFr
     """
     flat = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), flattened(F.col("parts").cast(PARTS)).alias("f"))
-    chats = flat.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "f"))).alias("m"))
-    head = lambda m: F.concat(F.lit(START), escaped_role(m["role"]), F.lit("\n"))
-    block = lambda m: F.concat(head(m), m["f"]["text"], F.lit(END + "\n"))
-    ends = "struct<at:int,spans:array<struct<from:int,to:int>>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int>>").alias("spans")).cast(ends)
-
-    def span(a: Column, m: Column) -> Column:
-        first = a["at"] + F.length(head(m))
-        own = F.struct(first.alias("from"), (first + F.length(m["f"]["text"])).alias("to"))
-        return F.struct((a["at"] + F.length(block(m))).alias("at"),
-                        F.when(m["role"] == trained_role, F.concat(a["spans"], F.array(own))).otherwise(a["spans"]).alias("spans")).cast(ends)
-
+    head = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"))
+    size = F.length(head) + F.length("f.text") + len(END + "\n")
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "f").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a message's end within the conversation is its place in the order too; a running sum finds all of them in one pass
+    placed = flat.withColumn("end", F.sum(size).over(before).cast("int"))
+    chats = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("end", "role", "f"))).alias("m"))
+    block = lambda m: F.concat(F.lit(START), escaped_role(m["role"]), F.lit("\n"), m["f"]["text"], F.lit(END + "\n"))
+
+    def span(m: Column) -> Column:
+        last = m["end"] - len(END + "\n")
+        return F.struct((last - F.length(m["f"]["text"])).alias("from"), last.alias("to"))
+
+    loss = F.transform(F.filter("m", lambda m: m["role"] == trained_role), span)
     files = F.flatten(F.transform("m", lambda m, i: F.transform(m["f"]["attachments"], lambda x: F.struct(
         i.alias("message"), x["kind"].alias("kind"), x["ref"].alias("ref"), x["tokens"].alias("tokens")))))
-    out = chats.select("conv_id", F.array_join(F.transform("m", block), "").alias("formatted"), F.aggregate("m", start, span, lambda a: a["spans"]).alias("loss"), files.alias("attachments"))
+    out = chats.select("conv_id", F.array_join(F.transform("m", block), "").alias("formatted"), loss.alias("loss"), files.alias("attachments"))
     return out.withColumn("attachment_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"]))
 
 

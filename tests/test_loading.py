@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from reportloom.plans import diagnosis as dg, usage as us
@@ -5,7 +7,7 @@ from reportloom.schema import DIAGNOSIS_FIELDS, DIAGNOSIS_TABLE_DDL, USAGE_FIELD
 from reportloom.sources import tables
 from reportloom.sources.catalog import seed_catalog
 from reportloom.sources.reports import FILE_NAME, FOLDER_NAME, read_report_rows, read_reports
-from reportloom.sources.scratch import scratch_dir
+from reportloom.sources.scratch import scratch_dir, scratch_table
 from reportloom.streaming.arrivals import arriving_reports, load_arrivals
 
 
@@ -62,6 +64,24 @@ def test_diagnosis_load(spark, reports, tmp_path):
     assert spark.table("diagnosis_load").where("load_id = 'week1'").count() == 5
 
 
+def test_a_scratch_table_goes_with_its_block(spark):
+    files = lambda: {p for p in Path(scratch_dir(spark)).glob("table-*")}
+    before = files()
+    with scratch_table(spark.range(5)) as kept:
+        assert kept.count() == 5 and len(files() - before) == 1
+    with pytest.raises(ValueError), scratch_table(spark.range(5)):
+        raise ValueError
+    assert files() == before
+
+
+def test_a_load_parses_markup_once(spark, reports, tmp_path):
+    written = []
+    rows = dg.diagnosis_rows(us.read_split(spark, reports, DIAGNOSIS_FIELDS, id_pattern=FILE_NAME))
+    with scratch_table(rows) as read:
+        written.append(dg.prepared(read)._jdf.queryExecution().executedPlan().toString())
+    assert "from_xml" not in written[0] and "binaryFile" not in written[0]
+
+
 def test_usage_load(spark, tmp_path):
     folder = tmp_path / "usage"
     folder.mkdir()

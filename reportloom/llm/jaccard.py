@@ -18,7 +18,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reportloom.llm.components import smallest_reachable
 from reportloom.llm.store import stored
@@ -57,6 +57,12 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     return out
 
 
+def row_key() -> Column:
+    """Of a row of documents, 16 bytes that rows of one id and one text share, and no others."""
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), F.coalesce(F.md5(F.col("text").cast("string")), F.lit("-")))
+    return F.unhex(F.md5(named))
+
+
 def digest(tokens: np.ndarray) -> bytes | None:
     return blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
 
@@ -87,7 +93,7 @@ def frequent_tokens(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
 
 
 def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n, digest, gather (the group key) and prefix: the rarest tokens, as many as a similar set must meet."""
+    """doc_id, row (its row_key), n, digest, gather (the group key) and prefix: the rarest tokens, as many as a similar set must meet."""
     known = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts, size))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,10 +112,10 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 rare = s[np.argsort(seen, kind="stable")[: n - -(-percent * n // 100) + MEETINGS]]
                 rows.append((n, digest(s), int(mixed(s ^ STEP).min().view(np.int64)), rare.view(np.int64)))
             columns = list(zip(*rows, strict=True))
-            yield pa.record_batch([batch.column(0), *map(pa.array, columns, (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())))],
-                                  ["doc_id", "n", "digest", "gather", "prefix"])
+            yield pa.record_batch([batch.column(0), batch.column(2), *map(pa.array, columns, (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())))],
+                                  ["doc_id", "row", "n", "digest", "gather", "prefix"])
 
-    return texts.select("doc_id", "text").mapInArrow(cut, "doc_id long, n long, digest binary, gather long, prefix array<long>")
+    return texts.select("doc_id", "text", "row").mapInArrow(cut, "doc_id long, row binary, n long, digest binary, gather long, prefix array<long>")
 
 
 def candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
@@ -171,39 +177,31 @@ def opened(call: pa.Table, percent: int) -> pa.Table:
 
 
 def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """rep, weight and tokens (64-bit hashes, ascending) of wanted sets, out of the texts of their first documents.
-
-    Rows under that document's id with another text are left out; a repeated row gives its set again.
-    """
+    """rep, weight and tokens (64-bit hashes, ascending) of wanted sets, each out of the text of its first row only."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            sets = shingle_sets(batch.column(0), size)
-            right = [i for i, d in enumerate(batch.column(3).to_pylist()) if digest(sets[i]) == d]
-            yield pa.record_batch([batch.column(1).take(pa.array(right, pa.int64())), batch.column(2).take(pa.array(right, pa.int64())),
-                                   pa.array([sets[i].tobytes() for i in right], pa.binary())], ["rep", "weight", "tokens"])
+            yield pa.record_batch([batch.column(1), batch.column(2), pa.array([s.tobytes() for s in shingle_sets(batch.column(0), size)], pa.binary())],
+                                  ["rep", "weight", "tokens"])
 
-    found = texts.join(wanted.hint("merge"), texts["doc_id"].eqNullSafe(wanted["first_id"])).select("text", "rep", "weight", "digest")
+    # repeated rows share a key; they are dropped where the join has put them, before they are cut
+    found = texts.select("row", "text").join(wanted.hint("merge"), "row").dropDuplicates(["row"]).select("text", "rep", "weight")
     return found.mapInArrow(build, "rep long, weight long, tokens binary")
 
 
-def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """For each row of documents, its shingles, its links and the smallest document that links lead to.
-
-    Returns doc_id, n_shingles, n_links (rows linked with this one, copies included) and component_id. Words are cut at
-    ASCII white space, A-Z lower-cased. A text of fewer words than a shingle is one shingle; null texts and those without
-    words have none, no links, and are their own component. Rows of equal text are linked, also under one id. A missing
-    id is never the smallest unless its whole component lacks ids. An empty table gives no rows. Other columns are left out.
-    """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def components_of_sets(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row, n, digest), and of each set digest, weight, links, root (its component) and first: the row of the
+    smallest id, then key, that has the set; a missing id comes last."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row"))
     rows = stored(prefixes(texts, size, percent).withColumn("key", F.monotonically_increasing_id()))
-    same = rows.filter("n > 0").groupBy("digest").agg(F.min("key").alias("rep"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("weight"),
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")).alias("first")
+    same = rows.filter("n > 0").groupBy("digest").agg(F.min("key").alias("rep"), first, F.count(F.lit(1)).alias("weight"),
                                                      F.min("n").alias("n"), F.min("gather").alias("gather"))
     gathered = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("tokens") / GROUP_TOKENS))
     parts = (same.groupBy("gather").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
              .withColumn("parts", gathered).filter("parts > 1").select("gather", "parts"))
     part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
-    same = stored(same.join(parts, "gather", "left").select("digest", "rep", "first_id", "weight", "n", F.xxhash64("gather", part).alias("gid")))
+    same = stored(same.join(parts, "gather", "left").select("digest", "rep", "first", "weight", "n", F.xxhash64("gather", part).alias("gid")))
     prefix = rows.select(F.col("key").alias("rep"), "prefix")
     found = stored(candidate_groups(stored(same.select("rep", "n", "gid").join(prefix, "rep")), percent))
 
@@ -215,7 +213,7 @@ def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     members = same.select("rep", "n", "gid").join(asked, "gid").select("rep", "n", "gid", each, F.lit(True).alias("member"))
     plan = stored(asking.union(members).select("rep", "n", F.xxhash64("gid", "block").alias("gid"), "member"))
     calls = max(1, (plan.agg(F.sum("n")).first()[0] or 0) // CALL_TOKENS)
-    wanted = plan.select("rep").distinct().join(same.select("rep", "weight", "digest", "first_id"), "rep")
+    wanted = plan.select("rep").distinct().join(same.select("rep", "weight", "first.row"), "rep")
     tokens = stored(token_sets(texts, wanted, size))
     dealt = plan.drop("n").hint("merge").join(tokens, "rep").withColumn("call", F.pmod(F.xxhash64("gid"), F.lit(calls)))
     linked = stored(dealt.groupBy("call").applyInArrow(lambda call: opened(call, percent), "rep long, links long, root long"))
@@ -223,9 +221,21 @@ def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     roots = smallest_reachable(linked.select(F.col("rep").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     labelled = (same.join(roots, same["rep"] == roots["u"], "left").join(counts, "rep", "left")
-                .select("digest", "weight", "first_id", "links", F.coalesce("root", "rep").alias("root")))
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = labelled.join(smallest, "root").select("digest", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+                .select("digest", "weight", "first", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("root")))
+    return rows.select("doc_id", "row", "n", "digest"), labelled
+
+
+def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """For each row of documents, its shingles, its links and the smallest document that links lead to.
+
+    Returns doc_id, n_shingles, n_links (rows linked with this one, copies included) and component_id. Words are cut at
+    ASCII white space, A-Z lower-cased. A text of fewer words than a shingle is one shingle; null texts and those without
+    words have none, no links, and are their own component. Rows of equal text are linked, also under one id. A missing
+    id is never the smallest unless its whole component lacks ids. An empty table gives no rows. Other columns are left out.
+    """
+    rows, labelled = components_of_sets(docs, size, percent)
+    smallest = labelled.groupBy("root").agg(F.min("first.doc_id").alias("component_id"))
+    classes = labelled.join(smallest, "root").select("digest", "component_id", (F.col("links") + F.col("weight") - 1).alias("n_links"))
     return rows.select("doc_id", "n", "digest").join(classes, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

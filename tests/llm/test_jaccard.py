@@ -67,3 +67,14 @@ def test_components_of_long_chains(spark):
     edges = list(zip(chain, chain[1:])) + [(1000 + i, 1000) for i in range(50)] + [(7, 7), (2001, 2000), (2000, 2001)]
     got = {r["u"]: r["root"] for r in components.smallest_reachable(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 400)}, **{1000 + i: 1000 for i in range(1, 50)}, 2001: 2000}
+
+
+def test_a_set_is_cut_from_one_row(spark, monkeypatch):
+    made, build = [], jaccard.token_sets
+    monkeypatch.setattr(jaccard, "token_sets", lambda texts, wanted, size: made.append((wanted, build(texts, wanted, size))) or made[0][1])
+    near = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, f"{near} a"), (None, f"{near} b"), (5, f"{near} c")] * 4 + [(None, f"own {i} " * 9) for i in range(20)]
+    got = jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["n_links"] for r in got) == [0] * 20 + [11] * 12 and {r["component_id"] for r in got} == {None, 5}
+    (wanted, sets), = made
+    assert sorted(r["rep"] for r in sets.collect()) == sorted(r["rep"] for r in wanted.collect())

@@ -14,6 +14,7 @@ from reportloom.llm.store import stored
 
 ORACLE_SQL = None  # a trained model and a tokenizer are no SQL; tests hold run() against a brute-force version
 
+ROW = "key_of_the_row"  # a name that no column of documents has
 LEFT = 0.2  # a document that keeps a smaller share of its tokens is a copy of others
 
 
@@ -33,18 +34,18 @@ def without_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of similar ones; of rows under one id, one."""
-    found = jaccard.similar_groups(docs)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["kept_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group of similar ones, the smallest by id, then by its text's digest; a missing id comes last. Rows
+    without words are similar to none and all stay."""
+    first = jaccard.first_rows(docs)
+    keyed = docs.filter(~jaccard.wordless()).withColumn(ROW, jaccard.row_key())
+    kept = keyed.join(first.withColumnRenamed("row", ROW), ROW, "left_semi").dropDuplicates([ROW])  # of equal rows, one
+    return kept.select(docs.columns).unionByName(docs.filter(jaccard.wordless()))
 
 
 def without_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no more of the benchmark than the rule allows."""
-    found = decontaminate.contamination(docs, queries.table(spark, sf_dir, "benchmark"))
-    dirty = found.filter("contaminated").select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["dirty_id"]), "left_anti")
+    """Documents whose own text holds no more of the benchmark than the rule allows."""
+    dirty = decontaminate.contaminated_texts(docs, queries.table(spark, sf_dir, "benchmark")).withColumnRenamed("digest", ROW)
+    return docs.withColumn(ROW, decontaminate.text_key()).join(dirty, ROW, "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

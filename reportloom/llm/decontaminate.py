@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reportloom.llm.words import ALPHANUMERIC, Words, list_array, split_words, text_slices
 
@@ -146,6 +146,11 @@ def document_frequency(docs: DataFrame, vocabulary: pa.Array) -> np.ndarray:
     return out
 
 
+def text_key() -> Column:
+    """Of a row of documents, the digest that rows of one text share; null and empty texts are one."""
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of documents, the word spans that repeat a benchmark window and the items they come from.
 
@@ -154,28 +159,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     window is one window; equal items all count; rows of equal ids or texts are each judged; without rows on either side
     nothing is contaminated. Other columns are left out.
     """
+    return judged(docs, benchmark, window, block_bytes).drop("digest")
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """digest: the text_key of each contaminated text, once."""
+    return judged(docs, benchmark, window, block_bytes).filter("contaminated").select("digest").distinct()
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """The columns of contamination, and digest, the text_key."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
 
-    def passed(block: int, source: DataFrame, key: str) -> DataFrame:
+    def passed(block: int, source: DataFrame, *keys: str) -> DataFrame:
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()  # a block is bounded
         vocabulary, found = windows(part.column("item_id").to_pylist(), part.column("text").combine_chunks(), window)
         index = spark.sparkContext.broadcast(build_index(vocabulary, found, document_frequency(texts, vocabulary), window))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches):
-                yield pa.record_batch([batch.column(0), *scanned(batch, index.value)], [key, "n_words", "starts", "ends", "items"])
+                yield pa.record_batch([*batch.columns[: len(keys)], *scanned(batch, index.value)], [*keys, "n_words", "starts", "ends", "items"])
 
-        return source.select(key, "text").mapInArrow(scan, f"{key} {dict(source.dtypes)[key]}, {RESULT}")
+        return source.select(*keys, "text").mapInArrow(scan, ", ".join([*(f"{k} {dict(source.dtypes)[k]}" for k in keys), RESULT]))
 
     if blocks == 1:
-        result = passed(0, texts, "doc_id").withColumn("spans", F.arrays_zip(F.col("starts").alias("from"), F.col("ends").alias("to")))
+        result = passed(0, texts.withColumn("digest", text_key()), "doc_id", "digest").withColumn("spans", F.arrays_zip(F.col("starts").alias("from"), F.col("ends").alias("to")))
     else:
-        digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-        distinct = texts.select(digest.alias("digest"), "text").dropDuplicates(["digest"])
+        distinct = texts.select(text_key().alias("digest"), "text").dropDuplicates(["digest"])
         parts = passed(0, distinct, "digest")
         for block in range(1, blocks):
             parts = parts.unionByName(passed(block, distinct, "digest"))
@@ -186,7 +200,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         ).otherwise(F.concat(a, F.array(s))))
         by_text = parts.groupBy("digest").agg(F.first("n_words").alias("n_words"), joined.alias("spans"),
                                               F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        result = texts.select("doc_id", digest.alias("digest")).join(by_text, "digest")
+        result = texts.select("doc_id", text_key().alias("digest")).join(by_text, "digest")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
-    return result.select("doc_id", "n_words", hit.alias("n_hit"), "spans", "items").withColumn(
+    return result.select("doc_id", "digest", "n_words", hit.alias("n_hit"), "spans", "items").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

@@ -239,3 +239,14 @@ def similar_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     return rows.select("doc_id", "n", "digest").join(classes, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def wordless() -> Column:
+    """Whether a row has no words and so no component with others."""
+    return ~F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def first_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """row: the row_key of one row of each component of rows with words, the smallest by id, a missing one last, then key."""
+    _, labelled = components_of_sets(docs, size, percent)
+    return labelled.groupBy("root").agg(F.min("first").alias("first")).select("first.row")

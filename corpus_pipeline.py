@@ -15,7 +15,7 @@ from reportloom.llm.store import stored
 ORACLE_SQL = None  # a trained model and a tokenizer are no SQL; tests hold run() against a brute-force version
 
 ROW = "key_of_the_row"  # a name that no column of documents has
-LEFT = 0.2  # a document that keeps a smaller share of its tokens is a copy of others
+WHOLE = "text_as_it_was"
 
 
 def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,12 +25,19 @@ def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def without_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines stay in their first document. A document with hardly anything left goes, one that had no tokens stays."""
-    cleaned = linededup.without_recurring_lines(docs)
-    kept = cleaned.filter(F.col("n_tokens") - F.col("n_dropped_tokens") >= LEFT * F.col("n_tokens"))
+    """Recurring lines stay in their first document. A document that has a token of its own left keeps that.
+
+    One with none left is no copy for that, since its lines may come from many documents and may differ in fields: it stays
+    whole, unless the join of near duplicates, on the texts as they came, has a smaller document for it.
+    """
+    cleaned = linededup.without_recurring_lines(docs, WHOLE)
+    none_left = (F.col("n_tokens") > 0) & (F.col("n_dropped_tokens") >= F.col("n_tokens"))
+    kept = cleaned.filter(~none_left)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return kept.select(docs.columns)
+    first = jaccard.first_rows(docs).withColumnRenamed("row", ROW)
+    whole = cleaned.filter(none_left).withColumn("text", F.col(WHOLE)).withColumn(ROW, jaccard.row_key()).join(first, ROW, "left_semi")
+    return kept.select(docs.columns).unionByName(whole.select(docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

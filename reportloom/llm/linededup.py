@@ -46,14 +46,14 @@ def templates(tokens: Column) -> Column:
     return F.when(n >= LONG, long_ones).when(n >= LEAST, F.array(F.xxhash64(n, tokens))).otherwise(F.array().cast("array<bigint>"))
 
 
-def without_recurring_lines(docs: DataFrame) -> DataFrame:
+def without_recurring_lines(docs: DataFrame, whole: str | None = None) -> DataFrame:
     """Documents with all their columns, lines of recurring templates taken out of text, and n_lines, n_dropped, n_tokens,
     n_dropped_tokens.
 
     A line stays in the document of the smallest id among those that share a template, however often it stands there.
     Rows of one id count as one document; a missing id comes after all others. Null texts stay null and have no lines;
     blank and very short lines stay. Lines are cut at \\n and nothing but whole lines is changed. Columns of documents
-    that have one of the four names are replaced. An empty table gives no rows.
+    that have one of the four names are replaced. An empty table gives no rows. whole names a column for the text as it was.
     """
     own = ["n_lines", "n_dropped", "n_tokens", "n_dropped_tokens"]
     docs = docs.drop(*own)
@@ -82,4 +82,6 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
     tokens = F.size(fields(text))
     counts = [F.when(text.isNull(), 0).otherwise(F.size(split)), F.size(at), F.when(text.isNull(), 0).otherwise(tokens), F.coalesce(mark["gone_tokens"], F.lit(0))]
     kept = [left.alias(c) if c == "text" else F.col(c) for c in docs.columns]
+    if whole is not None:
+        kept.append(text.alias(whole))
     return joined.select(*kept, *(c.cast("long").alias(name) for c, name in zip(counts, own, strict=True)))

@@ -1,4 +1,8 @@
+import re
+from collections import Counter, defaultdict
+
 import corpus_pipeline
+from reportloom.llm import queries
 
 
 def parquet(spark, place, **tables):
@@ -30,3 +34,72 @@ def test_contamination_goes_by_row(spark, tmp_path):
     got = corpus_pipeline.without_contamination(spark, docs, place)
     assert got.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted((r for r in rows if r[1] != dirty), key=str)
+
+
+def templates(line):
+    t = re.sub("[0-9]+", "<*>", line).split()
+    cut = [3 + (len(t) - 3) * j // 4 for j in range(5)]
+    opened = [(len(t), j, *t[:3], *(tuple(t[cut[i] : cut[i + 1]]) for i in range(4) if i != j)) for j in range(4)] if len(t) >= 8 else []
+    return len(t), [(len(t), "whole", *t), *opened] if len(t) >= 3 else []
+
+
+def shingles(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+
+
+def firsts(docs):
+    """Places of the first document of each group of similar ones; documents are in order of their ids."""
+    sets, root = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 85 * len(a | b) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return {i for i, r in enumerate(root) if i == r}
+
+
+def brute(docs, bench):
+    held = defaultdict(set)
+    for i, text in docs:
+        for line in text.split("\n"):
+            for k in templates(line)[1]:
+                held[k].add(i)
+    recurring = {k: min(ids) for k, ids in held.items() if len(ids) >= (2 if k[0] >= 8 else 10)}
+    kept, whole = [], firsts(docs)
+    for at, (i, text) in enumerate(docs):
+        left = [x for x in text.split("\n") if not any(recurring.get(k, i) < i for k in templates(x)[1])]
+        if "".join(left).strip() or not text.strip():
+            kept.append((i, "\n".join(left)))
+        elif at in whole:
+            kept.append((i, text))
+    kept = [kept[i] for i in sorted(firsts(kept) | {i for i, d in enumerate(kept) if not d[1].split()})]
+    windows = {tuple(w[i : i + 13]) for w in (b.lower().split() for b in bench) for i in range(len(w) - 12)}
+    clean = []
+    for i, text in kept:
+        w = text.lower().split()
+        hit = {p + q for p in range(len(w) - 12) if tuple(w[p : p + 13]) in windows for q in range(13)}
+        if not hit or 20 * len(hit) < len(w):
+            clean.append((i, text))
+    return clean
+
+
+def test_run_against_brute_force(spark, tmp_path):
+    first = {i: words(i, 30) for i in range(6)}
+    footer = words(60, 24)
+    changed = " ".join("other" if 20 <= j < 26 else w for j, w in enumerate(words(3, 30).split()))
+    docs = [(0, f"{first[0]}\n{footer}"), (1, first[1]), (2, f"{first[2]}\n{footer}"), (3, first[3]),
+            (10, f"{first[0]}\n{footer}"), (11, f"{first[2]}\n{footer}"),  # whole copies, the second of a document that lost a line
+            (12, f"{first[0]}\n{first[1]}\n{first[2]}\n{first[3]}"),  # lines of many documents: a copy of none
+            (13, f"{footer}\n{first[1]}\nits own sentence here"),  # under a fifth of its tokens is left
+            (14, changed), (15, ""), (16, words(16) + "\n" + words(70, 20)), (17, words(17)), (18, words(17) + " end")]
+    bench = [words(70, 20)]
+    expected = brute(docs, bench)
+    assert [i for i, _ in expected] == [0, 1, 2, 3, 12, 13, 14, 15, 17]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    place = parquet(spark, tmp_path, documents=([(i, t, "en", "web", len(t)) for i, t in docs], schema), benchmark=([("b", bench[0])], "item_id string, text string"),
+                    labels=([], "doc_id long, quality int, toxic int"))
+    told = lambda df: Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in df.collect())
+    assert told(corpus_pipeline.run(spark, place)) == told(queries.packed(spark.createDataFrame(expected, "doc_id long, text string")))
+    cleaned = corpus_pipeline.without_lines(spark, spark.read.parquet(f"{place}/documents.parquet"), place)
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()}[13] == "its own sentence here"

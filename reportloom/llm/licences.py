@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 EQUIVALENT = (("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("copyright holder", "copyright owner"),
               ("organisation", "organization"), ("favour", "favor"), ("per cent", "percent"), ("https", "http"), ("whilst", "while"), ("fulfil ", "fulfill "),
               ("judgement", "judgment"), ("merchantibility", "merchantability"))
+#: As the SQL takes lines out: every line that starts so. scan uses COPYRIGHT below.
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A copyright line has the word and then (c), a sign or a year; wording that wraps to a line start has not. It ends with the
+#: line, or where the licence begins on the same line; what follows neither within 400 characters is no copyright line.
+BEGINS = r"(?:permission (?:is|to)\b|redistribution and use|(?:this (?:project|work|software) is )?(?:licen[cs]ed|released) under|(?:the )?mit licen[cs]e|isc licen[cs]e|bsd zero clause)"
+COPYRIGHT = (r"(?m)^[ \t]*(?:copyright[ \t,:]*(?:\(c\)|©|(?:19|20)[0-9]{2})|\(c\)[ \t,:]*(?:copyright\b|(?:19|20)[0-9]{2})|©"
+             rf"|all rights reserved)[^\n]{{0,400}}?(?=[ \t.]*$|[ \t]+{BEGINS})")
 #: Punctuation, controls, blanks and quotation marks, but no line ends. Single signs below 256 and a range around the others
 #: spare the regexp engine most comparisons.
 SIGNS = "".join(rf"\x{c:02X}" for c in (*range(0x0A), *range(0x0B, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)))
@@ -51,7 +57,7 @@ KNOWN = (
 
 def even_lines(text: Column) -> Column:
     """Lower case without copyright lines, separators as single blanks; line ends stay."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), SEPARATORS, " ")
+    return F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), SEPARATORS, " ")
 
 
 def one_spelling(even: Column) -> Column:

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def test_licences(spark):
     assert licences.scan(docs.limit(0), licences.known_licences(spark)).collect() == []
 
 
+def test_licences_at_any_wrap(spark):
+    whole = [(n, " ".join(t.split())) for n, t in licences.KNOWN if len(t) > 300]
+    held = ["", "Copyright (c) 2020-2024 Jane Doe\n\n", "Copyright 1999, Jane Doe. All rights reserved.\n", "© Jane Doe\nAll rights reserved.\n"]
+    texts = [(n, h + "\n".join(textwrap.wrap(t, width, break_long_words=False))) for n, t in whole for width in (*range(12, 90, 3), 5000) for h in held]
+    texts += [(n, f"Copyright (c) 2020 Jane Doe {t}") for n, t in whole] + [(n, f"(c) 2020 Jane Doe. All rights reserved. {t}") for n, t in whole]
+    assert any("\ncopyright" in t.lower() for _, t in texts)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(docs, licences.known_licences(spark)).collect()}
+    assert [(n, t) for i, (n, t) in enumerate(texts) if got[i] != n] == []
+
+
 def test_binomial_tail(spark):
     for n, k, p in ((10, 0, 0.01), (50, 3, 0.1), (3000, 12, 0.01), (200_000, 1800, 0.01)):
         log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)  # noqa: E731,B023

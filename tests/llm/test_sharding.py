@@ -35,3 +35,17 @@ def test_assign(spark):
     assert sum(len(x) > 1 for x in shards_of_group.values()) < 30  # only large groups are cut
     assert sharding.assign(docs.limit(0)).collect() == []
     assert len(sharding.assign(docs.limit(3), 8).collect()) == 3
+
+
+def test_groups_that_fit_stay_whole(spark):
+    rows = [(i, f"own text {i} " * (i % 37 + 1)) for i in range(1500)]
+    copies = [(10_000 * (k + 1) + i, f"copy {k} " * 20) for k, n in enumerate([2, 3, 5, 25, 60, 100, 100, 900]) for i in range(n)]
+    got = sharding.assign(spark.createDataFrame(rows + copies, "doc_id long, text string"), 8).collect()
+    shards, sums = defaultdict(set), {m: Counter() for m in ("size", "tokens", "rows")}
+    for r in got:
+        shards[r["group"]].add(r["shard"])
+        for m in sums:
+            sums[m][r["shard"]] += 1 if m == "rows" else r[m]
+    assert [len(x) for x in shards.values() if len(x) > 1] == [8]  # only the group larger than a shard
+    for m, found in sums.items():
+        assert len(found) == 8 and max(found.values()) < 1.03 * sum(found.values()) / 8, (m, found)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from reportloom.llm import chat, decontaminate, jaccard, licences, linededup, packing, quality, rules, sharding, toxicity
+from reportloom.llm import chat, decontaminate, jaccard, licences, linededup, packing, phrases, quality, repair, rules, sharding, suffixes, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +91,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damaged(chats), chats)
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -102,4 +116,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_jaccard": op9_jaccard,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_collocations": op13_collocations,
 }

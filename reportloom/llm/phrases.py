@@ -24,7 +24,7 @@ LEAST = 10
 SHARE = 50  # a phrase goes if a longer one around it has this percentage of its occurrences
 SCALE = 1_000_000
 TOP = 2000
-BUCKET_BITS = 15  # chunks worked on at once, about 4 MB
+BUCKET_BITS = 14  # chunks worked on at once, about 2 MB
 NO_LANG = "und"
 
 # Classes of bytes: what parts words, what parts pieces, and all else.

@@ -137,7 +137,7 @@ def place_of(start: str | Column) -> Column:
 
 def judged_runs(runs: DataFrame) -> DataFrame:
     """The runs, with later: whether one of equal bytes lies at an earlier position."""
-    first = runs.groupBy("gram", "content").agg(F.min(place_of("start")).alias("first"))
+    first = stored(runs.groupBy("gram", "content").agg(F.min(place_of("start")).alias("first")))  # a join of tables, so that hot keys can be split
     return stored(runs.join(first, ["gram", "content"]).select(*runs.columns, (place_of("start") > F.col("first")).alias("later")))
 
 
@@ -273,7 +273,7 @@ def repeated_strings(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, b
     runs = judged_runs(shared_runs(texts, length, gram))
     compared = compared_runs(runs, texts, length, block)
     apart = compared.filter("high IS NOT NULL")
-    first = apart.groupBy("gram", "high", "low").agg(F.min(place_of("start")).alias("first"))
+    first = stored(apart.groupBy("gram", "high", "low").agg(F.min(place_of("start")).alias("first")))
     across = apart.join(first, ["gram", "high", "low"]).filter(place_of("start") > F.col("first"))
     columns = ["doc_id", "key", "start", "size"]
     return runs.filter("later").select(columns).unionByName(compared.filter("high IS NULL").select(columns)).unionByName(across.select(columns))

@@ -72,7 +72,9 @@ class Tokens:
         """64 bits of each word, out of its bytes alone."""
         if not len(self):
             return np.empty(0, np.uint64)
-        powers = np.cumprod(np.concatenate(([1], np.full(int(self.lengths.max()), BASE, np.uint64))).astype(np.uint64), dtype=np.uint64)
+        powers = np.full(int(self.lengths.max()), BASE, np.uint64)
+        powers[0] = 1
+        powers = np.cumprod(powers, dtype=np.uint64)
         place = np.arange(len(self.data)) - np.repeat(self.starts, self.lengths)
         return mixed(np.add.reduceat(BYTE_VALUES[self.data] * powers[place], self.starts))
 
@@ -148,20 +150,25 @@ class Bucket:
         self.langs, self.lang = names.dictionary, names.indices.to_numpy(zero_copy_only=False)[rows].astype(np.int64)
         salt = mixed(np.array([hash_of(x) for x in self.langs.to_pylist()], np.uint64))
         words = tokens.hashes()
-        self.pair = np.zeros(len(tokens), np.uint64)  # of each word and the next one
+        self.pair, self.check = np.zeros((2, len(tokens)), np.uint64)  # 128 bits of each word and the next one
         self.pair[:-1] = mixed(words[:-1] * np.uint64(BASE) + words[1:])
-        self.pair += salt[self.lang] if len(salt) else 0
+        self.check[:-1] = mixed(words[1:] * np.uint64(BASE) ^ mixed(words[:-1]))
+        if len(salt):
+            self.pair += salt[self.lang]
+            self.check ^= salt[self.lang]
 
 
 def hash_of(text: str) -> int:
     return int(Tokens(pa.array(["l" + text.encode().hex()])).hashes()[0])
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
-    keys = keys[order]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
-    return keys[starts], np.add.reduceat(weights[order], starts) if len(starts) else np.empty(0, np.int64)
+def _summed(pair: np.ndarray, check: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(pair, kind="stable")
+    pair, check, weights = pair[order], check[order], weights[order]
+    new = np.ones(len(pair), bool)
+    new[1:] = (pair[1:] != pair[:-1]) | (check[1:] != check[:-1])
+    starts = np.flatnonzero(new)
+    return pair[starts], check[starts], np.add.reduceat(weights, starts) if len(starts) else np.empty(0, np.int64)
 
 
 def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -189,64 +196,74 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def likely_pairs(chunks: DataFrame, least: int = LEAST) -> DataFrame:
-    """``bucket, pair``: for each bucket of chunks the hashes of its word pairs that come often enough in the whole corpus.
+def frequent_pairs(chunks: DataFrame, least: int = LEAST) -> DataFrame:
+    """``bucket, pair, check, total``: for each bucket of chunks its word pairs that come often enough in the whole corpus.
 
-    Pairs are summed by hash. Two pairs under one hash only let both pass, since nothing is counted by hash in the end.
+    A pair is known by 128 bits. One of the buckets that hold it has its total, and will spell it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bucket(batches):
             some = Bucket(_column(batch, "lang"), _column(batch, "chunk"), _numbers(batch, "own"), _numbers(batch, "n"))
             use = some.counted & some.follows
-            keys, sums = _summed(some.pair[use], some.times[use])
-            yield pa.record_batch([pa.array(np.full(len(keys), _numbers(batch, "bucket")[0])), pa.array(keys.view(np.int64)), pa.array(sums)],
-                                  ["bucket", "pair", "n"])
+            pair, check, sums = _summed(some.pair[use], some.check[use], some.times[use])
+            yield pa.record_batch([pa.array(np.full(len(pair), _numbers(batch, "bucket")[0])), pa.array(pair.view(np.int64)), pa.array(check.view(np.int64)),
+                                   pa.array(sums)], ["bucket", "pair", "check", "n"])
 
-    counted = chunks.mapInArrow(count, "bucket long, pair long, n long")
-    everywhere = F.sum("n").over(Window.partitionBy("pair"))
-    return stored(counted.withColumn("total", everywhere).filter(F.col("total") >= least).select("bucket", "pair"))
+    counted = chunks.mapInArrow(count, "bucket long, pair long, check long, n long")
+    everywhere = Window.partitionBy("pair", "check")
+    total = counted.withColumns({"total": F.sum("n").over(everywhere), "first": F.min("bucket").over(everywhere)}).filter(F.col("total") >= least)
+    return stored(total.select("bucket", "pair", "check", F.when(F.col("bucket") == F.col("first"), F.col("total")).otherwise(0).alias("total")))
 
 
 def phrase_counts(chunks: DataFrame, pairs: DataFrame, least: int = LEAST) -> DataFrame:
     """``lang, words, phrase, f`` of every word and of every phrase of two or three words that comes often enough.
 
-    A phrase of three words cannot be more frequent than the two pairs in it, so it is only counted where both are likely.
+    A phrase of three words cannot be more frequent than the two pairs in it, so it is only counted where both are frequent.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bucket(batches):
-            pair = _column(batch, "pair")
-            likely = np.sort(pair.drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            part = batch.filter(pc.is_null(pair))
+            missing = pc.is_null(_column(batch, "chunk"))
+            part, known = batch.filter(pc.invert(missing)), batch.filter(missing)
             if not len(part):
                 continue
+            pair, check, total = (_numbers(known, name) for name in ("pair", "check", "n"))
+            order = np.argsort(pair.view(np.uint64), kind="stable")
+            pair, check, total = pair.view(np.uint64)[order], check.view(np.uint64)[order], total[order]
             some = Bucket(_column(part, "lang"), _column(part, "chunk"), _numbers(part, "own"), _numbers(part, "n"))
-            found = np.searchsorted(likely, some.pair)
-            two = some.follows & (np.append(likely, np.uint64(0))[found] == some.pair) & (found < len(likely))
+            found = np.searchsorted(pair, some.pair)
+            inside = found < len(pair)
+            found[~inside] = 0
+            two = some.follows & inside & (pair[found] == some.pair) & (check[found] == some.check) if len(pair) else np.zeros(len(found), bool)
             three = two.copy()
             three[:-1] &= two[1:]
             three[-1:] = False
             codes, values = some.tokens.coded()
             size = len(values) or 1
             code = some.lang * size + codes
-            for words, use in ((1, some.counted), (2, some.counted & two), (3, some.counted & three)):
+
+            def told(at: np.ndarray, words: int, sums: np.ndarray) -> pa.RecordBatch:
+                parts = [values.take(pa.array(codes[at + k])) for k in range(words)]
+                phrase = parts[0] if words == 1 else pc.binary_join_element_wise(*parts, " ")
+                return pa.record_batch([some.langs.take(pa.array(some.lang[at])), pa.array(np.full(len(at), words), pa.int32()), phrase, pa.array(sums)],
+                                       ["lang", "words", "phrase", "n"])
+
+            at = np.flatnonzero(some.counted & two)
+            at = at[total[found[at]] > 0]
+            one = at[np.unique(found[at], return_index=True)[1]]
+            yield told(one, 2, total[found[one]])
+            for words, use in ((1, some.counted), (3, some.counted & three)):
                 at = np.flatnonzero(use)
                 keys = code[at]
                 for k in range(1, words):  # codes of pairs and triples, kept small by numbering those that occur
-                    distinct, keys = np.unique(keys, return_inverse=True)
-                    keys = keys * size + codes[at + k]
+                    keys = np.unique(keys, return_inverse=True)[1] * size + codes[at + k]
                 distinct, one, inverse = np.unique(keys, return_index=True, return_inverse=True)
-                sums = np.bincount(inverse, some.times[at], len(distinct)).astype(np.int64)
-                one = at[one]
-                parts = [values.take(pa.array(codes[one + k])) for k in range(words)]
-                yield pa.record_batch([some.langs.take(pa.array(some.lang[one])), pa.array(np.full(len(one), words), pa.int32()),
-                                       parts[0] if words == 1 else pc.binary_join_element_wise(*parts, " "), pa.array(sums)],
-                                      ["lang", "words", "phrase", "n"])
-
-    none = {"lang": "string", "chunk": "string", "own": "int", "n": "long"}
-    marks = pairs.select("bucket", "pair", *[F.lit(None).cast(kind).alias(name) for name, kind in none.items()])
-    rows = marks.unionByName(chunks.select("bucket", F.lit(None).cast("long").alias("pair"), *none))
+                yield told(at[one], words, np.bincount(inverse, some.times[at], len(distinct)).astype(np.int64))
+
+    none = {"lang": "string", "chunk": "string", "own": "int"}
+    marks = pairs.select("bucket", "pair", "check", *[F.lit(None).cast(kind).alias(name) for name, kind in none.items()], F.col("total").alias("n"))
+    rows = marks.unionByName(chunks.select("bucket", *[F.lit(None).cast("long").alias(c) for c in ("pair", "check")], *none, "n"))
     counted = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "lang string, words int, phrase string, n long")
     return stored(counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least))
 
@@ -291,7 +308,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, share: int
     """
     chunks = dictionary(docs).withColumn("bucket", F.shiftright("at", BUCKET_BITS))
     totals = chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("n")).alias("words_in_all"))
-    counts = phrase_counts(chunks, likely_pairs(chunks, least), least)
+    counts = phrase_counts(chunks, frequent_pairs(chunks, least), least)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = scored(counts, share).withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("words_in_all").alias("n"), "score")

@@ -79,5 +79,11 @@ def test_chunks_own_each_word_once():
     assert ((spelled.bounds[1:] - spelled.bounds[:-1] - own) <= phrases.OVERLAP).all()
 
 
+def test_words_have_hashes_of_their_own():
+    words = sorted({"".join(random.Random(i).choices("abcé日 -"[:6], k=1 + i % 12)) for i in range(5000)})
+    words = [w for w in words if " " not in w]
+    assert len(set(phrases.Tokens(pa.array(words)).hashes().tolist())) == len(words)
+
+
 def test_no_rows(spark):
     assert found(spark, [], 10) == [] and found(spark, [("en", "a b")], 10) == []

@@ -10,6 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from reportloom.llm.store import stored
 
 SEQUENCE = 2048
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 ENDING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 JOINED = 2000
 
@@ -98,11 +99,17 @@ class WordEncoder:
         return ids, np.diff(np.concatenate(([0], ends))[words.bounds])
 
 
+@lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for each Python worker: a later task reads no tokenizer file and knows the words of earlier ones."""
+    return WordEncoder(path)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, n_tokens and packed ids (little-endian, 32 bits) of each row of documents, the end id included."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path)
         kind = np.dtype("<u2" if len(encoder.closes) <= 1 << 16 and end_id < 1 << 16 else "<u4")
         for batch in text_slices(batches):
             ids, counts = encoder.encode(batch.column(1))

@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -23,7 +24,7 @@ from reportloom.llm.store import stored
 
 SEQUENCE = 2048
 END_ID = 1
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 ENDING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 JOINED = 2000
 
@@ -46,43 +47,57 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.stems: dict[str, np.ndarray] = {}
         self.flat, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _each(self, words: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of letters only: many in one text, cut again where a word's last token stands."""
-        out: list[np.ndarray] = []
+    def _letters(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of words of letters only, and how many each has: many in one text, cut again where a word's last token stands."""
+        flat, sizes = [], []
         for a in range(0, len(words), JOINED):
             some = words[a : a + JOINED]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int32)
             cuts = np.flatnonzero(self.closes[ids]) + 1
-            out += np.split(ids, cuts[:-1]) if len(cuts) == len(some) else self._each(some)
-        return out
+            if len(cuts) == len(some):
+                flat.append(ids)
+                sizes.append(np.diff(cuts, prepend=0))
+            else:
+                each = self._each(some)
+                flat += each
+                sizes.append(np.array([len(x) for x in each], np.int64))
+        return flat, sizes
 
     def _learn(self, words: list[str]) -> None:
-        plain, parts = {}, []
-        for word in words:
-            stem = word.rstrip(ENDING)
-            if stem.isalpha():
-                stem = stem.lower() if stem.isascii() else stem
-                parts.append((stem, word[len(word.rstrip(ENDING)):]))
-                plain.update({stem: 0})
-            else:
-                parts.append((word, None))
-        new = [x for x in plain if x not in self.stems]
-        self.stems.update(zip(new, self._letters(new), strict=True))
-        others = list({x for stem, end in parts for x in ((stem,) if end is None else (end,)) if x and x not in self.stems})
-        self.stems.update(zip(others, self._each(others), strict=True))
-        none = np.empty(0, np.int32)
-        found = [self.stems[stem] if not end else np.concatenate((self.stems[stem], self.stems.get(end, none)))
-                 for stem, end in parts]
-        sizes = np.array([len(x) for x in found], np.int64)
+        """A word of letters and an ending of signs is put together from both, any other is asked for as a whole."""
+        given = pa.array(words, pa.string())
+        stems = pc.utf8_rtrim(given, characters=ENDING)
+        lettered = pc.utf8_is_alpha(stems)
+        plain = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems).filter(lettered).dictionary_encode()
+        mask = lettered.to_numpy(zero_copy_only=False)
+        ends, stem_ends = (np.frombuffer(x.buffers()[1], np.int32)[x.offset + 1 : x.offset + len(x) + 1] for x in (given, stems))
+        long = np.diff(ends, prepend=0) - np.diff(stem_ends, prepend=0)
+        spelled = np.frombuffer(given.buffers()[2] or b"", np.uint8).tobytes()
+        ending = [spelled[e - n : e].decode() for e, n in zip(ends[mask & (long > 0)].tolist(), long[mask & (long > 0)].tolist(), strict=True)]
+        whole = given.filter(pc.invert(lettered)).to_pylist()
+        others = {x: i for i, x in enumerate(dict.fromkeys([*whole, *ending]))}
+        flat, sizes = self._letters(plain.dictionary.to_pylist())
+        each = self._each(list(others))
+        table = np.concatenate((np.empty(0, np.int32), *flat, *each))
+        size = np.concatenate((np.empty(0, np.int64), *sizes, np.array([len(x) for x in each], np.int64), [0])).astype(np.int64)
+        start, none, first_other = np.cumsum(size) - size, len(size) - 1, len(plain.dictionary)
+        parts = np.full((len(words), 2), none)
+        parts[mask, 0] = plain.indices.to_numpy(zero_copy_only=False)
+        parts[~mask, 0] = [first_other + others[x] for x in whole]
+        parts[mask & (long > 0), 1] = [first_other + others[x] for x in ending]
+        taken = size[parts]
+        runs = taken.ravel()
+        after = np.cumsum(runs)
+        ids = table[np.repeat(start[parts].ravel() - after + runs, runs) + np.arange(after[-1] if len(after) else 0)]
+        sizes = taken.sum(1)
         self.slots.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
         self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
-        self.flat, self.sizes = np.concatenate((self.flat, *found)), np.concatenate((self.sizes, sizes))
+        self.flat, self.sizes = np.concatenate((self.flat, ids)), np.concatenate((self.sizes, sizes))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""

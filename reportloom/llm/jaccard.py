@@ -28,7 +28,8 @@ SHINGLE = 4
 PERCENT = 85
 FREQUENT = 1_000_000  # tokens whose counts order the others; 16 MB in each task
 MEETINGS = 3  # tokens that the prefixes of similar sets share, each prefix being longer by all but one of them
-COUNTED = 4_000_000  # tokens counted at once in a task
+COUNTED = 1_000_000  # tokens counted at once in a task
+SLICE = 2 << 20  # bytes of text cut at once
 GROUP_SETS, GROUP_TOKENS = 64, 1 << 16
 QUERIES_A_CALL = 1024  # of one group
 CALL_TOKENS = 1 << 21
@@ -76,7 +77,7 @@ def frequent_tokens(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray
             return pa.record_batch([pa.array(tokens[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
 
         held, total = [], 0
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             held += shingle_sets(batch.column(0), size)
             total += sum(map(len, held[-batch.num_rows:]))
             if total > COUNTED:
@@ -98,7 +99,7 @@ def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = known.value
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             rows = []
             for s in shingle_sets(batch.column(1), size):
                 n = len(s)
@@ -180,7 +181,7 @@ def token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """rep, weight and tokens (64-bit hashes, ascending) of wanted sets, each out of the text of its first row only."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             yield pa.record_batch([batch.column(1), batch.column(2), pa.array([s.tobytes() for s in shingle_sets(batch.column(0), size)], pa.binary())],
                                   ["rep", "weight", "tokens"])
 

@@ -77,12 +77,12 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in parts of a bounded amount of text, empty ones left out."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         if len(texts):
-            for a, b in slices(texts.cast(pa.string())):
+            for a, b in slices(texts.cast(pa.string()), limit):
                 yield batch.slice(a, b - a)
 
 

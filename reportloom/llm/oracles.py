@@ -113,6 +113,42 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT count(*) FROM link WHER
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
+SUFFIXES = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, unnest(generate_series(0, len(h) // 2 - 100)) AS p, h FROM d WHERE len(h) >= 200),
+s AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS s FROM p),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS n FROM s) WHERE n > 1),
+span AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM
+  (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS opens FROM again)) GROUP BY doc_id, run),
+parts AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS kept_from FROM span),
+gone AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last FROM parts GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a) AS kept FROM parts JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+PHRASES = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS ks(k), unnest(generate_series(1, len(w) - k + 1)) AS t(i)) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+often AS MATERIALIZED (SELECT lang, phrase, f FROM f WHERE f >= 10),
+ways AS (SELECT lang, k, phrase, a, j, array_to_string(list_slice(w, 1, j), ' ') AS first, array_to_string(list_slice(w, j + 1, k), ' ') AS rest
+  FROM c, (VALUES (1), (2)) AS js(j) WHERE j < k),
+cut AS (SELECT ways.lang, k, ways.phrase, a, j, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM ways JOIN often x ON x.lang = ways.lang AND x.phrase = first JOIN often y ON y.lang = ways.lang AND y.phrase = rest),
+weak AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM cut),
+around AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, a, array_to_string(list_slice(w, s, s + 1), ' ') AS phrase FROM c, (VALUES (1), (2)) AS ss(s) WHERE k = 3) GROUP BY 1, 2),
+best AS (SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM weak LEFT JOIN around USING (lang, phrase) WHERE nth = 1 AND NOT (k = 2 AND coalesce(100 * longer >= 50 * a, false)))
+SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINES,
     "op2_decontamination": DECONTAMINATION,
@@ -120,4 +156,6 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": RULES,
     "op8_chat_format": CHATS,
     "op9_jaccard": JACCARD,
+    "op12_suffix_dedup": SUFFIXES,
+    "op13_collocations": PHRASES,
 }

@@ -66,3 +66,27 @@ def number_rows(df: DataFrame, order: Sequence[Column], within: Sequence[str] =
     return (kept.join(bases, "_run")
             .withColumn(name, F.col("_at") + F.col("_base"))
             .drop("_run", "_at", "_base"))
+
+
+def running(df: DataFrame, within: Sequence[str], block: str, order: str, values: dict[str, Column]) -> DataFrame:
+    """Adds the sums of whole numbers over all rows of a ``within`` group up to each row, the row included.
+
+    Rows are summed up block by block, a block being a bounded part of the group such as a split of a file, and what the
+    blocks before hold is added. The frame is read twice, so it should be a stored one.
+    """
+    local = Window.partitionBy(*within, block).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*within).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(*within, block).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    offsets = totals.select(*within, block, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in values])
+    summed = df.withColumns({n: F.sum(v).over(local) for n, v in values.items()})
+    return summed.join(offsets, [*within, block]).withColumns({n: F.col(n) + F.col(f"_{n}") for n in values}).drop(*[f"_{n}" for n in values])
+
+
+def latest(df: DataFrame, within: Sequence[str], block: str, order: str, value: Column, name: str) -> DataFrame:
+    """Adds the last value that is not NULL in a ``within`` group up to each row, the row included; blocks as in ``running``."""
+    local = Window.partitionBy(*within, block).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*within).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    lasts = df.groupBy(*within, block).agg(F.max_by(value, F.when(value.isNotNull(), F.col(order))).alias("_last"))
+    carried = lasts.select(*within, block, F.last("_last", ignorenulls=True).over(before).alias("_last"))
+    own = df.withColumn("_own", F.last(value, ignorenulls=True).over(local))
+    return own.join(carried, [*within, block]).withColumn(name, F.coalesce("_own", "_last")).drop("_own", "_last")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -28,19 +30,38 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes the frame and reads it back: later passes read columns, and losing an executor recomputes nothing."""
     path = path or fresh_path(df.sparkSession, "table")
+    for paths in getattr(_scopes, "open", [])[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
-    """``materialise`` for as long as a block lasts. Its folder is removed when the block ends, after a failure too."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, "table")
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes what ``materialise`` writes in a block, and in this thread, when the block ends, after a failure too.
+
+    Frames that read it must have been used up by then.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    _scopes.open.append([])
     try:
-        yield materialise(df, path)
+        yield
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        for path in _scopes.open.pop():
+            remove(spark, path)
+
+
+@contextmanager
+def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
+    """``materialise`` for as long as a block lasts."""
+    with scratch_scope(df.sparkSession):
+        yield materialise(df)

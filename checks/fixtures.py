@@ -158,3 +158,25 @@ def usage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tr = row_markup([F.expr(usage_cell(f, CELL_TEXT)) for f in USAGE_FIELDS])
     rows = orders.withColumn("report_id", F.floor(F.col("k") / USAGE_KEYS))
     return documents(rows, ["report_id"], "k", tr, [f.title for f in USAGE_FIELDS])
+
+
+def nested_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as table rows, with a table inside every third and two inside every sixth, and two more tables behind."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", f"floor(o_orderkey / {USAGE_KEYS}) as report_id")
+    inner = lambda mark: (f"concat('<table><tr><th>x</th></tr><tr><td>{mark}', k, '</td><td>', k % 7, '</td></tr>"
+                          "<tr><td>', k, '</td></tr></table>')")
+    tr = F.expr(f"concat('<tr><td>', k, '</td><td>a', if(k % 3 = 0, {inner('i')}, ''), if(k % 6 = 0, {inner('j')}, ''), 'z</td><td>', k % 11, '</td></tr>')")
+    docs = documents(orders, ["report_id"], "k", tr, ["Order", "Text", "Rest"])
+    small = lambda mark: F.concat(F.lit(f"<table><tr><th>x</th></tr><tr><td>{mark}"), "report_id", F.lit("</td></tr></table>"))
+    behind = F.concat(F.lit("</table>"), small("s"), F.lit("<div>"), small("d"), small("e"), F.lit("</div></body>"))
+    return docs.withColumn("html", F.replace("html", F.lit("</table></body>"), behind))
+
+
+def loose_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose rows are no XML: names of references, attributes without values, lone signs, missing end tags."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    tr = F.expr("concat('<tr><td nowrap>', l_orderkey, '</td><td width=3>', l_linenumber, '&nbsp;&eacute;</td><td>', l_partkey, "
+                "'<td title=\"a > b\">', l_returnflag, ' & &#246;&#x1F600; <b>x</b></td></tr>')")
+    tr = F.when(F.col("l_linenumber") == 4, F.expr("concat('<tr>', l_orderkey, '<td>&nbsp;</td></tr>')")).otherwise(tr)
+    rows = lines.withColumn("at", F.monotonically_increasing_id()).withColumn("report_id", F.floor(F.col("at") / LINES))
+    return documents(rows, ["report_id"], "at", tr, ["Order", "Line", "Part", "Flag"])

@@ -165,6 +165,16 @@ def _derive_sql(columns: str) -> str:
     return f"{D} select k, {columns} from d"
 
 
+# Which tables of nested_documents each way takes: 0 the outer one, 1 and 2 inside a cell, 3 to 5 behind it.
+NESTED = """with o as (select o_orderkey as k, o_orderkey // 1000 as r from orders), x as (
+  select 0 as t, '' || k as c0, 'az' as c1, '' || (k % 11) as c2 from o
+  union all select 1, 'i' || k, '' || (k % 7), null from o where k % 3 = 0 union all select 1, '' || k, null, null from o where k % 3 = 0
+  union all select 2, 'j' || k, '' || (k % 7), null from o where k % 6 = 0 union all select 2, '' || k, null, null from o where k % 6 = 0
+  union all select distinct m.t, m.mark || r, null, null from o, (values (3, 's'), (4, 'd'), (5, 'e')) m(t, mark))
+select mode, c0, c1, c2 from x join (values ('first', 0), ('each', 0), ('each', 1), ('each', 4), ('all', 0), ('all', 1), ('all', 2), ('all', 3),
+  ('all', 4), ('all', 5)) w(mode, t) using (t)"""
+LINE_ROWS = "select l_orderkey, l_linenumber, l_partkey, nullif(l_returnflag, 'N') as l_returnflag"
+
 PRIORITY_ORDER = "order by priority, finding, k"
 ORACLES: dict[str, str] = {
     "clean_pages": f"select page_id, length(c) as n_chars, sha256(c) as digest "
@@ -172,6 +182,12 @@ ORACLES: dict[str, str] = {
     "read_documents": f"{D} select report_id, count(*) as n_rows from d group by 1",
     "read_split_rows": "select l_orderkey, l_linenumber, l_partkey, nullif(l_returnflag, 'N') as l_returnflag "
                        "from lineitem",
+    "nested_rows": NESTED,
+    "nested_rows_in_pieces": NESTED,
+    "encodings": f"{LINE_ROWS}, e || ' ' || p as form from lineitem, (values ('utf-8'), ('utf-16le'), ('utf-16be')) a(e), (values ('true'), ('false')) b(p)",
+    "loose_rows": "select case when l_linenumber <> 4 then '' || l_orderkey end as c0, case when l_linenumber <> 4 then l_linenumber || chr(160) || 'é' end as c1, "
+                  "case when l_linenumber <> 4 then '' || l_partkey end as c2, case when l_linenumber <> 4 then l_returnflag || ' & ö' || chr(128512) || ' x' end as c3, "
+                  "case when l_linenumber = 4 then 'malformed row' end as problem from lineitem",
     "shred_counts": f"{D} select report_id, 'page' || lpad(cast(k // {PAGE_KEYS} as varchar), 12, '0') as source_path, "
                     "count(*) as n_rows, count(*) as last_row, cast(11 as bigint) as n_cells from d group by 1, 2",
     "shred_diagnosis": f"{D} select report_id, {CELLS} from d",
@@ -194,6 +210,13 @@ ORACLES: dict[str, str] = {
                     "group by 1",
     "load_stream": f"{D} select report_id, count(*) as n_rows, cast(sum(priority) as bigint) as sum_priority from d "
                    "group by 1",
+    "stream_prepared": f"{D} select report_id, count(*) as n_rows, cast(1 as bigint) as first_id, count(*) as last_id, count(*) as n_ids, count(*) as n_named from d group by 1",
+    "load_schema": _usage_sql("load_id, index_id, case when load_id = 'after' then rows end as rows, case when load_id = 'after' then cast(0 as integer) end as n_failed",
+                              ", (values ('before'), ('after')) l(load_id)"),
+    "load_ledger": f"select case when o_orderkey // {USAGE_KEYS} % 3 = 0 then 'one' else 'two' end as load_id, count(*) as n_rows, cast(sum(o_orderkey) as bigint) as sum_index_id, "
+                   f"count(distinct o_orderkey // {USAGE_KEYS}) as n_files, count(*) as n_noted from orders group by 1",
+    "load_row_keys": "select cast(o_orderkey as integer) as index_id, n as load_no, row_number() over (partition by n order by o_orderkey) as row_no "
+                     "from orders, (values (cast(1 as bigint)), (cast(2 as bigint))) l(n)",
     "row_id": f"{D} select report_id, row_number() over (partition by report_id {PRIORITY_ORDER}) as id, priority, "
               "finding, details from d",
     "row_id_global": f"{D} select k, priority, finding, row_number() over ({PRIORITY_ORDER}) as id from d",
@@ -208,6 +231,10 @@ ORACLES: dict[str, str] = {
     "derive_T9": _derive_sql(f"{OBJECT} as object_name"),
     "derive_T10": _derive_sql(f"{TABLE_SHOWN} as table_name, {OBJECT} as object_name"),
     "derive_T11": _derive_sql(f"kind, {FINDING} as finding"),
+    "derive_unread": f"{D} select k, case when k % 10 = 7 then '' else {PREP} end as data_prep, case when k % 10 = 7 then '' else {OBJECT} end as object_name, "
+                     f"case when k % 10 = 7 then '' else {TABLE_SHOWN} end as table_name, case when k % 10 = 7 then concat_ws(',', case kind when 3 then 'missing_index' "
+                     "when 9 then 'wide_indexes' when 10 then 'wide_clustered' when 12 then 'wide_tables' when 13 then 'addicted_to_nulls' end, case kind when 10 then "
+                     "'added_constraint' when 11 then 'foreign_key' else 'created_index' end, case kind when 11 then 'foreign_key_table' else 'table_call' end) else '' end as unread from d",
     "scalar_text": f"{D} select k, '1,' || (100 + n2) || ' rows' as text_before, '1,' || (100 + n2) || ' ' as "
                    "text_through, '' as text_through_none, n1 || 'MB' as text_after_last, '' || n1 as text_between, "
                    "case when kind = 11 then '' else database_name || ''', @SchemaName=''dbo'', @TableName=''T' || k "
@@ -231,6 +258,8 @@ ORACLES: dict[str, str] = {
     "report_lines": f"{D}, r as ({REPORT}) select report_id, row_number() over (partition by report_id order by "
                     f"{LINE_ORDER}) as line_no, section, markdown_info from r",
     "report_from_documents": f"{D}, r as ({REPORT}) select report_id, section, priority, markdown_info from r",
+    "packed_files": f"{D}, r as ({REPORT}), l as (select report_id, row_number() over (partition by report_id order by {LINE_ORDER}) as line_no, markdown_info from r) "
+                    "select l.*, how from l, (values ('all'), ('by index')) h(how) where how = 'all' or report_id in (3, 21)",
     "markdown_files": f"{D}, r as ({REPORT}) select report_id, row_number() over (partition by report_id order by "
                       f"{LINE_ORDER}) as line_no, markdown_info from r",
 }

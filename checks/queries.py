@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,14 +16,16 @@ from reportloom.operators.markup import USAGE_REPLACEMENTS, clean_markup, typed
 from reportloom.operators.numbering import number_rows, with_row_id
 from reportloom.plans import diagnosis as dg
 from reportloom.plans.sections import BY_NAME, SECTIONS
-from reportloom.plans.usage import checked, shredded, sound_rows, usage_rows
+from reportloom.plans.usage import checked, read_split, shredded, sound_rows, usage_rows
 from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS, USAGE_TABLE_DDL, Field
 from reportloom.sources import tables
 from reportloom.sources.catalog import load_catalog
-from reportloom.sources.markdown import read_lines, write_markdown
+from reportloom.sources.identity import ROWS_BITS, with_row_key
+from reportloom.sources.ledger import load_changed, loaded_files
+from reportloom.sources.markdown import read_lines, read_packed, write_markdown, write_packed
 from reportloom.sources.reports import read_report_rows, read_reports
 from reportloom.sources.scratch import fresh_path, materialise
-from reportloom.streaming.arrivals import arriving_reports, load_arrivals
+from reportloom.streaming.arrivals import arriving_files, load_arrivals, load_prepared_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIAGNOSIS_CELLS = [f.name for f in DIAGNOSIS_FIELDS]
@@ -62,6 +64,45 @@ def read_split_rows(spark, sf_dir):
     return _line(rows)
 
 
+MODES = {"first": {}, "each": {"each_parent": True}, "all": {"all_tables": True}}
+
+
+def _nested(rows: DataFrame, mode: str) -> DataFrame:
+    return rows.select(F.lit(mode).alias("mode"), *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(3)])
+
+
+def nested_rows(spark, sf_dir):
+    """Rows of nested and sibling tables, by each of the ways to choose tables."""
+    docs = fx.nested_documents(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [_nested(shredded(docs, (), False, **mode), name) for name, mode in MODES.items()])
+
+
+def nested_rows_in_pieces(spark, sf_dir):
+    """The same of files that are read in pieces."""
+    path = fresh_path(spark, "nested")
+    fx.nested_documents(spark, sf_dir).withColumnRenamed("report_id", "page").write.partitionBy("page").text(path)
+    rows = lambda mode: checked(read_report_rows(spark, path, glob="*.txt", **mode))
+    return reduce(DataFrame.unionByName, [_nested(rows(mode), name) for name, mode in MODES.items()])
+
+
+def encodings(spark, sf_dir):
+    """Files in three encodings, whole and in pieces: the same rows of all."""
+    docs, found = fx.line_documents(spark, sf_dir), []
+    for encoding in ("UTF-8", "UTF-16LE", "UTF-16BE"):
+        path = fresh_path(spark, "encoded")
+        docs.select(F.encode("html", encoding).cast("string").alias("html")).write.option("encoding", encoding).option("lineSep", "\n").text(path)
+        for limit in (-1, 1 << 40):
+            rows = read_split(spark, path, (), False, size_limit=limit, glob="*.txt", all_tables=True)
+            found.append(_line(rows.where("problem IS NULL")).withColumn("form", F.lit(f"{encoding} {limit < 0}".lower())))
+    return reduce(DataFrame.unionByName, found)
+
+
+def loose_rows(spark, sf_dir):
+    """Rows that are no XML, read as browsers read them; text outside the cells still sets a row aside."""
+    rows = shredded(fx.loose_documents(spark, sf_dir), (), False, loose=True)
+    return rows.select(*[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(4)], "problem")
+
+
 def shred_counts(spark, sf_dir):
     rows = shredded(fx.diagnosis_documents(spark, sf_dir), DIAGNOSIS_FIELDS)
     return rows.groupBy("report_id", "source_path").agg(
@@ -169,17 +210,61 @@ def load_replace(spark, sf_dir):
 def load_stream(spark, sf_dir):
     """Files that arrive are loaded by a stream; a second start finds nothing new."""
     files, name = _written_documents(spark, sf_dir), "stream_" + fresh_path(spark, "s").rsplit("-", 1)[1]
-    docs = arriving_reports(spark, files, glob=FILES["glob"], id_pattern=FILES["id_pattern"])
-    ddl = "report_id string, source_path string, row_pos bigint, problem string, " + ", ".join(
+    ddl = "report_id string, source_path string, row_pos bigint, problem string, raw_row string, failed_cells array<int>, " + ", ".join(
         f"{f.name} {f.type}" for f in DIAGNOSIS_FIELDS) + ", load_id string"
     state, place = fresh_path(spark, "state"), fresh_path(spark, "stream")
-    transform = lambda batch: dg.diagnosis_rows(shredded(batch, DIAGNOSIS_FIELDS))
+    transform = lambda split, load_id, number: dg.diagnosis_rows(split)
     for _ in range(2):
-        load_arrivals(docs, transform, name, ddl, state, location=place, availableNow=True).awaitTermination()
+        load_arrivals(arriving_files(spark, files, glob=FILES["glob"]), DIAGNOSIS_FIELDS, transform, name, ddl, state, location=place,
+                      reading=FILES, availableNow=True).awaitTermination()
     return spark.table(name).groupBy(F.col("report_id").cast("bigint").alias("report_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("priority").alias("sum_priority"))
 
 
+def stream_prepared(spark, sf_dir):
+    """Prepared rows of files that come in several batches: numbers run on without gaps in each report."""
+    files, name = _written_documents(spark, sf_dir), "prepared_" + fresh_path(spark, "s").rsplit("-", 1)[1]
+    arriving = arriving_files(spark, files, glob=FILES["glob"], files_per_batch=400)
+    load_prepared_arrivals(arriving, name, f"{name}_ids", fresh_path(spark, "state"), location=fresh_path(spark, "stream"),
+                           ids_location=fresh_path(spark, "ids"), reading=FILES, availableNow=True).awaitTermination()
+    return sound_rows(spark.table(name)).groupBy(F.col("report_id").cast("bigint").alias("report_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count_distinct("id").alias("n_ids"),
+        F.count_if(F.col("object_name") != "").alias("n_named"))
+
+
+def load_schema(spark, sf_dir):
+    """A table made before two of its columns takes new loads and keeps old rows."""
+    path = fresh_path(spark, "older")
+    name = f"older_{path.rsplit('-', 1)[1]}"
+    tables.ensure_table(spark, name, "report_id string, index_id int, load_id string", location=path)
+    rows = _usage_load(spark, sf_dir)
+    tables.replace_load(rows.select("report_id", "index_id"), name, "before")
+    tables.ensure_table(spark, name, "report_id string, index_id int, failed_cells array<int>, rows bigint, load_id string")
+    tables.replace_load(rows.select("report_id", "index_id", "failed_cells", "rows"), name, "after")
+    return spark.table(name).select("load_id", "index_id", "rows", F.size("failed_cells").alias("n_failed"))
+
+
+def load_ledger(spark, sf_dir):
+    """Files are loaded once, whichever load finds them."""
+    path, name = fresh_path(spark, "files"), _load_table(spark, "ledger")
+    docs = fx.usage_documents(spark, sf_dir).withColumnRenamed("report_id", "page")
+    read = lambda paths: usage_rows(read_split(spark, paths, USAGE_FIELDS, glob="*", id_pattern=r"page=(\d+)"))
+    place = fresh_path(spark, "read")
+    for load_id, some in (("one", "page % 3 = 0"), ("two", "page % 3 = 1"), ("two", "page < 0"), ("two", "page % 3 = 2"), ("three", "page < 0")):
+        docs.where(some).write.mode("append").partitionBy("page").text(path)
+        load_changed(spark, path, name, f"{name}_files", load_id, read, glob="*.txt", location=place)
+    rows = sound_rows(spark.table(name)).groupBy("load_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("index_id").alias("sum_index_id"))
+    files = loaded_files(spark.table(f"{name}_files")).groupBy("load_id").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_noted"))
+    return rows.join(files, "load_id")
+
+
+def load_row_keys(spark, sf_dir):
+    """Numbers of two loads: each has its own range, and counts its rows in their order."""
+    rows, place = _usage_load(spark, sf_dir).select("index_id", "rows"), fresh_path(spark, "keys")
+    loads = [with_row_key(rows, place, ["index_id"]) for _ in range(2)]
+    return loads[0].unionByName(loads[1]).select("index_id", F.shiftright("row_key", ROWS_BITS).alias("load_no"), F.col("row_key").bitwiseAND((1 << ROWS_BITS) - 1).alias("row_no"))
+
+
 # ---- row numbers
 
 def row_id(spark, sf_dir):
@@ -206,6 +291,14 @@ def _derivation(*columns: str) -> Query:
     return query
 
 
+def derive_unread(spark, sf_dir):
+    """Every tenth row holds other sentences than its finding says, and says which."""
+    other = {"details": "concat('Some other sentence ', k)", "usage": "'another wording'", "create_tsql": "if(create_tsql = '', '', concat(left(create_tsql, 6), ' CONSTRAINT'))",
+             "more_info": "if(more_info = '', '', 'EXEC dbo.other ')"}
+    rows = fx.diagnosis(spark, sf_dir).withColumns({c: F.expr(f"if(k % 10 = 7, {e}, {c})") for c, e in other.items()})
+    return dv.read_sentences(rows, "unread").select("k", "data_prep", "object_name", "table_name", F.array_join("unread", ",").alias("unread"))
+
+
 def scalar_text(spark, sf_dir):
     """The text building blocks, one column each."""
     columns = {
@@ -288,10 +381,24 @@ def markdown_files(spark, sf_dir):
     return numbered.select("report_id", "line_no", "markdown_info")
 
 
+def packed_files(spark, sf_dir):
+    """The documents packed into few files, read back whole and, for some reports, by the index."""
+    path = fresh_path(spark, "packed")
+    report = report_full(spark, sf_dir).withColumn("report_id", F.col("report_id").cast("string"))
+    write_packed(report, path, rp.report_order(), partitions=6)
+    some = read_packed(spark, path, ["3", "21"]).withColumn("how", F.lit("by index"))
+    lines = read_packed(spark, path).withColumn("how", F.lit("all")).unionByName(some)
+    return lines.withColumn("report_id", F.col("report_id").cast("bigint"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_pages": clean_pages,
     "read_documents": read_documents,
     "read_split_rows": read_split_rows,
+    "nested_rows": nested_rows,
+    "nested_rows_in_pieces": nested_rows_in_pieces,
+    "encodings": encodings,
+    "loose_rows": loose_rows,
     "shred_counts": shred_counts,
     "shred_diagnosis": shred_diagnosis,
     "shred_lineitem": shred_lineitem,
@@ -304,6 +411,10 @@ QUERIES: dict[str, Query] = {
     "load_append": load_append,
     "load_replace": load_replace,
     "load_stream": load_stream,
+    "stream_prepared": stream_prepared,
+    "load_schema": load_schema,
+    "load_ledger": load_ledger,
+    "load_row_keys": load_row_keys,
     "row_id": row_id,
     "row_id_global": row_id_global,
     "derive_T1": _derivation("table_name"),
@@ -317,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "derive_T9": _derivation("object_name"),
     "derive_T10": _derivation("table_name", "object_name"),
     "derive_T11": _derivation("kind", "finding"),
+    "derive_unread": derive_unread,
     "scalar_text": scalar_text,
     "section_counts": section_counts,
     "classify_rows": classify_rows,
@@ -329,4 +441,5 @@ QUERIES: dict[str, Query] = {
     "report_lines": report_lines,
     "report_from_documents": report_from_documents,
     "markdown_files": markdown_files,
+    "packed_files": packed_files,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, functions as F
 
 from reportloom.functions.text import before, drop, ends_with, extract, literal, rewrite, starts_with, swap
@@ -82,6 +84,57 @@ def heap_title(finding: str) -> str:
     return f"if({heap}, {swap('finding', 'Active heap', 'Active Heap')}, finding)"
 
 
+class Sentence(NamedTuple):
+    """A whole sentence: the rows that should hold it, the column it is in, its pattern, and what is taken out of it."""
+    name: str
+    where: str
+    column: str
+    pattern: str
+    value: str = ""
+
+
+def sentences(finding: str) -> tuple[tuple[Sentence, ...], ...]:
+    """What each derived field is read from: ``data_prep``, ``object_name`` and ``table_name``."""
+    ends = lambda title: ends_with(finding, title, True)
+    count = "([0-9][0-9,]*)"
+    created, altered = starts_with("create_tsql", "CREATE"), "create_tsql ILIKE 'ALTER%CONSTRAINT%'"
+    return (
+        (Sentence("wide_tables", ends(WIDE_TABLES), "details",
+                  rf"^.+ has {count} total columns with a max possible width of {count} bytes(?:(\.[0-9][0-9,]*) columns are LOB types)?\.$", "$1 $2$3"),
+         Sentence("addicted_to_nulls", ends(ADDICTED_TO_NULLS), "details", rf"^.+ allows null in {count} of {count} columns\.$", "$1 $2"),
+         Sentence("wide_clustered", ends(WIDE_CLUSTERED), "details", rf"^{count} columns with potential size of {count} bytes in clustered index:.+$", "$1 $2"),
+         Sentence("missing_index", f"priority = 50 AND {ends(MISSING_INDEX)}", "usage",
+                  rf"^{count} uses?; Impact: ([0-9.]+%); Avg query cost: ([0-9.,]+)$", "$1;$2$3"),
+         Sentence("wide_indexes", f"priority = 150 AND {ends(WIDE_INDEXES)}", "details", rf"^{count} columns? on .+$", "$1")),
+        (Sentence("created_index", created, "create_tsql", CREATED_INDEX + ".*$", "$1"),
+         Sentence("added_constraint", f"NOT {created} AND {altered}", "create_tsql", ADDED_CONSTRAINT + ".*$", "$1"),
+         Sentence("foreign_key", f"NOT {created} AND NOT {altered} AND {ends(UNINDEXED_KEYS)}", "details",
+                  r"^Foreign key \[([^\]]+)\] on \[.+?\](?:\s.*)?$", "$1")),
+        (Sentence("table_call", starts_with("more_info", "EXEC dbo."), "more_info",
+                  r"^EXEC dbo\.\S+ @DatabaseName='.*', @SchemaName='(.*?)', @TableName='(.*)';$", "$1.$2"),
+         Sentence("foreign_key_table", f"more_info = '' AND {ends(UNINDEXED_KEYS)}", "details", r"^Foreign key \[[^\]]+\] on \[(.+?)\](?:\s.*)?$", "$1")))
+
+
+def _matches(sentence: Sentence) -> str:
+    return f"coalesce({sentence.column} RLIKE {literal('(?is)' + sentence.pattern)}, false)"
+
+
+def read_sentences(diagnosis: DataFrame, unread: str) -> DataFrame:
+    """Like ``derive``, but every field comes out of a whole sentence or stays empty.
+
+    ``unread`` names a column for the sentences that a row should hold and does not: words that a rule would leave over are
+    no value, and such rows can be found. A NULL sentence counts as not held. A table's name is the one its call gives.
+    """
+    fields = ("data_prep", "object_name", "table_name")
+    found = diagnosis.withColumn("_finding", F.lower("finding"))
+    groups = sentences("_finding")
+    value = lambda s: f"WHEN {s.where} THEN if({_matches(s)}, regexp_replace({s.column}, {literal('(?is)' + s.pattern)}, {literal(s.value)}), '')"
+    columns = {name: F.expr(f"CASE {' '.join(map(value, group))} ELSE '' END") for name, group in zip(fields, groups, strict=True)}
+    marks = ", ".join(f"if(coalesce({s.where}, false) AND NOT {_matches(s)}, {literal(s.name)}, NULL)" for group in groups for s in group)
+    return (found.withColumns({**columns, unread: F.expr(f"array_compact(array({marks}))")})
+            .withColumn("finding", F.expr(heap_title("_finding"))).drop("_finding"))
+
+
 def derive(diagnosis: DataFrame) -> DataFrame:
     """Adds ``table_name``, ``data_prep`` and ``object_name`` and evens out ``finding``. Narrow: projections only.
 

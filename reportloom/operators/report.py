@@ -115,8 +115,9 @@ def section_report(diagnosis: DataFrame, catalog: DataFrame, section: Section) -
 
 
 def section_order(section: Section) -> list[Column]:
+    """Text whatever its case first, as in ``report_order``."""
     return [F.asc("report_id"), F.asc("priority"), *[F.desc(n) for n in section.numbers],
-            *[F.asc(s) for s in section.texts], F.asc("id")]
+            *[F.lower(s).asc() for s in section.texts], *[F.asc(s) for s in section.texts], F.asc("id")]
 
 
 def collation_rows(diagnosis: DataFrame) -> DataFrame:

@@ -74,3 +74,23 @@ def test_derivations_stay_in_one_stage_of_generated_code(spark):
     df = spark.createDataFrame([BASE], "priority int, " + ", ".join(f"{c} string" for c in BASE if c != "priority"))
     plan = derive(df.union(df)).where(F.col("priority") == 70)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_sentences_are_read_whole_or_not_at_all(spark):
+    from reportloom.operators.derive import read_sentences
+    call = "EXEC dbo.sp_X @DatabaseName='a', @SchemaName='dbo', @TableName='it''s';"
+    rows = [
+        (150, "x: Wide Tables: 35+ cols or > 2000 non-LOB bytes", "dbo.T has 40 total columns with a max possible width of 2,100 bytes.", "", call, ""),
+        (150, "x: wide tables: 35+ cols or > 2000 non-LOB bytes", "dbo.T has 40 total columns with a max possible width of 2100 bytes.3 columns are LOB types.", "", call, ""),
+        (150, "x: Wide Tables: 35+ cols or > 2000 non-LOB bytes", "dbo.T has many columns.", "", call, ""),
+        (50, "x: High Value Missing Index", None, "1 use; Impact: 9.5%; Avg query cost: 2.25", "EXEC dbo.other", "CREATE INDEX [a b] ON [T]"),
+        (50, "x: High Value Missing Index", None, None, "", "ALTER TABLE [T] ADD CONSTRAINT [c] x"),
+        (150, "x: Unindexed Foreign Keys", "Foreign key [f k] on [dbo.T] has no supporting index.", "", "", ""),
+        (150, "x: Unindexed Foreign Keys", "Foreign key f", "", "", "CREATE STATISTICS s"),
+        (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "priority int, finding string, details string, usage string, more_info string, create_tsql string")
+    found = [(r.data_prep, r.object_name, r.table_name, r.unread) for r in read_sentences(df, "unread").collect()]
+    assert found == [
+        ("40 2,100", "", "dbo.it''s", []), ("40 2100.3", "", "dbo.it''s", []), ("", "", "dbo.it''s", ["wide_tables"]),
+        ("1;9.5%2.25", "a b", "", ["table_call"]), ("", "c", "", ["missing_index"]), ("", "f k", "dbo.T", []),
+        ("", "", "", ["created_index", "foreign_key_table"]), ("", "", "", [])]

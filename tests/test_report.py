@@ -171,3 +171,40 @@ def test_counts_read_three_columns_and_sections_are_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "partial_count" in plan
     plan = rp.section_report(table, load_catalog(spark), SECTIONS[0])._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(priority,10)" in plan
+
+
+def test_packed_documents(spark, tmp_path):
+    from reportloom.sources.markdown import read_packed
+    rows = [row("big", id=i, details=f"dbo.T{i:05}.ix (2)") for i in range(2000)]
+    rows += [row(f"r{r}", id=i) for r in range(60) for i in range(3)]
+    data, path = frame(spark, *rows).repartition(4), str(tmp_path / "packed")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small data would end in one file
+    try:
+        write_findings(data, path, packed=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = list(Path(path).glob("part=*/part-*.txt"))
+    assert 1 < len(files) <= 4 and len({f.parent for f in files}) == len(files)
+    expected = rp.findings_report(data, load_catalog(spark)).orderBy(*rp.report_order()).collect()
+    every = read_packed(spark, path).collect()
+    for report, count in (("big", 2005), ("r0", 8), ("r59", 8)):
+        text = [r.markdown_info for r in expected if r.report_id == report]
+        assert [r.markdown_info for r in sorted((r for r in every if r.report_id == report), key=lambda r: r.line_no)] == text
+        one = read_packed(spark, path, [report])
+        assert [r.markdown_info for r in one.orderBy("line_no").collect()] == text and len(text) == count
+        assert report == "big" or len({f.rsplit("/", 1)[1] for f in one.inputFiles() if "part=" in f}) == 1
+    assert len(every) == len(expected) and read_packed(spark, path, ["none"]).count() == 0
+
+
+def test_packed_documents_evaluate_the_report_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    lines = spark.range(50).selectExpr("cast(id % 5 as string) as report_id", "cast(id as string) as markdown_info").repartition(2)
+    from reportloom.sources.markdown import write_packed
+    write_packed(lines.mapInArrow(count, lines.schema), str(tmp_path / "p"), [F.asc("report_id"), F.asc("markdown_info")], partitions=3)
+    assert seen.value == 50

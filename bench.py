@@ -20,7 +20,7 @@ from reportloom.operators.markup import USAGE_REPLACEMENTS, clean_markup
 from reportloom.operators.numbering import number_rows
 from reportloom.plans import diagnosis as dg
 from reportloom.plans.sections import BY_NAME
-from reportloom.plans.usage import shredded, usage_rows
+from reportloom.plans.usage import read_split, shredded, usage_rows
 from reportloom.schema import DIAGNOSIS_FIELDS, USAGE_FIELDS
 from reportloom.sources.catalog import load_catalog
 from reportloom.sources.markdown import write_markdown
@@ -56,12 +56,16 @@ def main() -> None:
     raw = stored(fx.diagnosis(spark, SF_DIR), f"{place}/raw")
     table = stored(derive(raw).withColumn("id", F.col("k")), f"{place}/table")
     catalog = load_catalog(spark)
+    fx.usage_documents(spark, SF_DIR).select("html").repartition(4 * int(CPUS)).write.text(f"{place}/files")
+    files = lambda limit: usage_rows(read_split(spark, f"{place}/files", USAGE_FIELDS, glob="*.txt", size_limit=limit))
     split = lambda: dg.diagnosis_rows(shredded(docs, DIAGNOSIS_FIELDS))
     queries = {
         "clean_pages": lambda: clean_markup(pages, "html", USAGE_REPLACEMENTS),
         "shred_usage_60_cells": lambda: usage_rows(shredded(usage, USAGE_FIELDS)),
         "shred_lines_4_cells": lambda: shredded(lines, (), check_headings=False).select("cells"),
         "shred_diagnosis": split,
+        "read_files_whole": lambda: files(1 << 40),
+        "read_files_in_pieces": lambda: files(-1),
         "load_diagnosis_with_ids": lambda: dg.prepared(materialise(split())),
         "derive": lambda: derive(raw),
         "section_counts": lambda: rp.section_counts(table),

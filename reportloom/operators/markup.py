@@ -111,8 +111,12 @@ def own_tables(html: Column, parents: bool = False) -> Column:
             F.filter(seen, lambda depth: depth <= F.least(inside, inside + x["to"]["low"])).alias("seen") if parents else at["seen"].alias("seen"))
 
     whole = lambda t: F.struct(t["no"].alias("no"), t["first"].alias("first"), F.array_join(t["parts"], "").alias("text"))
-    found = F.aggregate(steps, start, merge, lambda at: F.concat(at["done"], at["open"]))
-    return F.transform(F.when(F.size(starts) > 0, found).otherwise(_empty(piece)), whole)
+    found = F.transform(F.aggregate(steps, start, merge, lambda at: F.concat(at["done"], at["open"])), whole)
+    one = F.array(F.struct(F.lit(1).alias("no"), F.lit(True).alias("first"), F.get(F.split(html, TABLE_TAG, 3), F.lit(1)).alias("text")))
+    # most documents have one table, which is cut out at once
+    return (F.when((F.regexp_count(html, F.lit(r"(?i)<table\b")) == 1) & (F.startswith(F.regexp_extract(html, TABLE_TAG, 0), F.lit("</")) == F.lit(False))
+                   & (F.regexp_extract(html, TABLE_TAG, 0) != ""), one)
+            .when(F.size(starts) > 0, found))
 
 
 def shred_rows(docs: DataFrame, html: str = "html", fields: Sequence[Field] | None = None,

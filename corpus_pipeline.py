@@ -14,8 +14,13 @@ from reportloom.llm.store import stored
 
 ORACLE_SQL = None  # a trained model and a tokenizer are no SQL; tests hold run() against a brute-force version
 
-ROW = "key_of_the_row"  # a name that no column of documents has
-WHOLE = "text_as_it_was"
+
+
+def free(docs: DataFrame, name: str) -> str:
+    """A name that no column of documents has."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,32 +32,36 @@ def without_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def without_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines stay in their first document. A document that has a token of its own left keeps that.
 
-    One with none left is no copy for that, since its lines may come from many documents and may differ in fields: it stays
-    whole, unless the join of near duplicates, on the texts as they came, has a smaller document for it.
+    One with none left is no copy for that, since its lines may come from many documents and may differ in fields. It goes if
+    a smaller document had its whole text, which may have lost lines here; else it stays whole, for the next stage to judge.
     """
-    cleaned = linededup.without_recurring_lines(docs, WHOLE)
+    was, key = free(docs, "text_as_it_was"), free(docs, "text_key")
+    cleaned = linededup.without_recurring_lines(docs, was)
     none_left = (F.col("n_tokens") > 0) & (F.col("n_dropped_tokens") >= F.col("n_tokens"))
     kept = cleaned.filter(~none_left)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    first = jaccard.first_rows(docs).withColumnRenamed("row", ROW)
-    whole = cleaned.filter(none_left).withColumn("text", F.col(WHOLE)).withColumn(ROW, jaccard.row_key()).join(first, ROW, "left_semi")
-    return kept.select(docs.columns).unionByName(whole.select(docs.columns))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"))
+    first = docs.groupBy(F.md5("text").alias(key)).agg(F.min(place).alias("first_place"))
+    whole = cleaned.filter(none_left).withColumn("text", F.col(was))
+    same = F.md5(whole["text"]) == first[key]
+    return kept.select(docs.columns).unionByName(whole.join(first, same & (place == F.col("first_place")), "left_semi").select(docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of similar ones, the smallest by id, then by its text's digest; a missing id comes last. Rows
     without words are similar to none and all stay."""
-    first = jaccard.first_rows(docs)
-    keyed = docs.filter(~jaccard.wordless()).withColumn(ROW, jaccard.row_key())
-    kept = keyed.join(first.withColumnRenamed("row", ROW), ROW, "left_semi").dropDuplicates([ROW])  # of equal rows, one
+    first, row = jaccard.first_rows(docs), free(docs, "row_key")
+    keyed = docs.filter(~jaccard.wordless()).withColumn(row, jaccard.row_key())
+    kept = keyed.join(first.withColumnRenamed("row", row), row, "left_semi").dropDuplicates([row])  # of equal rows, one
     return kept.select(docs.columns).unionByName(docs.filter(jaccard.wordless()))
 
 
 def without_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose own text holds no more of the benchmark than the rule allows."""
-    dirty = decontaminate.contaminated_texts(docs, queries.table(spark, sf_dir, "benchmark")).withColumnRenamed("digest", ROW)
-    return docs.withColumn(ROW, decontaminate.text_key()).join(dirty, ROW, "left_anti").select(docs.columns)
+    row = free(docs, "row_key")
+    dirty = decontaminate.contaminated_texts(docs, queries.table(spark, sf_dir, "benchmark")).withColumnRenamed("digest", row)
+    return docs.withColumn(row, decontaminate.text_key()).join(dirty, row, "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

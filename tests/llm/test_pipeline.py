@@ -103,3 +103,24 @@ def test_run_against_brute_force(spark, tmp_path):
     assert told(corpus_pipeline.run(spark, place)) == told(queries.packed(spark.createDataFrame(expected, "doc_id long, text string")))
     cleaned = corpus_pipeline.without_lines(spark, spark.read.parquet(f"{place}/documents.parquet"), place)
     assert {r["doc_id"]: r["text"] for r in cleaned.collect()}[13] == "its own sentence here"
+
+
+def test_columns_of_any_name_keep_their_values(spark, tmp_path):
+    place = parquet(spark, tmp_path, benchmark=([("b", words(50))], "item_id string, text string"), labels=([], "doc_id long, quality int, toxic int"))
+    texts = [words(1), words(1) + "\n" + words(2), words(1), None, ""]
+    docs = spark.createDataFrame([(i, t, "k", "r", "w", 7, 9) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, text_key string, row_key string, text_as_it_was string, first_place int, n_tokens int")
+    for stage in (corpus_pipeline.without_near_duplicates, corpus_pipeline.without_contamination):
+        got = stage(spark, docs, place)
+        assert got.columns == docs.columns and {tuple(r)[2:] for r in got.collect()} == {("k", "r", "w", 7, 9)}
+    lines = corpus_pipeline.without_lines(spark, docs.drop("n_tokens", "first_place"), place)
+    assert {(r.doc_id, r.text, r.text_key, r.row_key, r.text_as_it_was) for r in lines.collect()} == {
+        (0, words(1), "k", "r", "w"), (1, words(2), "k", "r", "w"), (3, None, "k", "r", "w"), (4, "", "k", "r", "w")}
+
+
+def test_empty_tables(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    place = parquet(spark, tmp_path, documents=([], schema), benchmark=([], "item_id string, text string"), labels=([], "doc_id long, quality int, toxic int"))
+    docs = spark.read.parquet(f"{place}/documents.parquet")
+    for stage in (corpus_pipeline.without_lines, corpus_pipeline.without_near_duplicates, corpus_pipeline.without_contamination):
+        assert stage(spark, docs, place).collect() == []

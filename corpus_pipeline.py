@@ -35,17 +35,17 @@ def without_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     One with none left is no copy for that, since its lines may come from many documents and may differ in fields. It goes if
     a smaller document had its whole text, which may have lost lines here; else it stays whole, for the next stage to judge.
     """
-    was, key = free(docs, "text_as_it_was"), free(docs, "text_key")
+    was, key, at = (free(docs, name) for name in ("text_as_it_was", "text_key", "first_place"))
     cleaned = linededup.without_recurring_lines(docs, was)
     none_left = (F.col("n_tokens") > 0) & (F.col("n_dropped_tokens") >= F.col("n_tokens"))
     kept = cleaned.filter(~none_left)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"))
-    first = docs.groupBy(F.md5("text").alias(key)).agg(F.min(place).alias("first_place"))
+    first = docs.groupBy(F.md5("text").alias(key)).agg(F.min(place).alias(at))
     whole = cleaned.filter(none_left).withColumn("text", F.col(was))
     same = F.md5(whole["text"]) == first[key]
-    return kept.select(docs.columns).unionByName(whole.join(first, same & (place == F.col("first_place")), "left_semi").select(docs.columns))
+    return kept.select(docs.columns).unionByName(whole.join(first, same & (place == F.col(at)), "left_semi").select(docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

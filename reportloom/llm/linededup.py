@@ -1,24 +1,27 @@
 """Line dedup by a log-template tree, in SQL expressions only.
 
 A line is parsed to a fixed depth: its number of tokens, then its leading tokens, lead to a leaf. Runs of digits are
-variable fields from the start. In the leaf the rest of the line is cut into parts, and each part in turn may be a
-variable field as well: a line then has one template as it is and one for each part left open, which still fixes three
-quarters of the rest. A template that more documents share than allowed is recurring, and its lines stay only in the
-first of its documents.
+variable fields from the start. Lines of a leaf are merged by their share of equal tokens: the rest of a line is cut
+into quarters, and lines that have two quarters in common meet at the first of them in order of documents. Both are
+compared position by position. Where enough positions are equal they have one template, and the positions that differ
+are its fields. Lines of a template that more documents share than allowed stay only in the first of them.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reportloom.llm.store import stored
 
 DEPTH = 3  # leading tokens on the way to a leaf
 PARTS = 4
-LONG = 8  # tokens from which a part may be left open, and two documents are enough
-LEAST = 3  # shorter lines are never dropped
+PERCENT = 85  # of the positions are equal in lines of one template
+LONG, LONG_CHARS = 8, 50  # tokens or characters from which two documents are enough; so many tokens may have open positions
 DOCS, DOCS_SHORT = 2, 10  # documents that make a template recurring
 LAST = 2**63 - 1  # stands for a missing id
+KEYS = [f"key{i}" for i in range(PARTS * (PARTS - 1) // 2)]
 
 
 def fields(text: Column) -> Column:
@@ -29,31 +32,58 @@ def fields(text: Column) -> Column:
 
 
 def parsed(line: Column) -> Column:
-    """n (tokens) and templates of a line, whose tokens are cut once."""
-    return F.transform(F.array(fields(F.regexp_replace(line, "[0-9]+", "<*>"))), lambda t: F.struct(F.size(t).alias("n"), templates(t).alias("templates")))[0]
+    """n (tokens), long, whole (a hash of all tokens, null for a line of nothing but digits), codes (a hash of each token) and
+    keys of a line, whose tokens are cut once. Only lines of LONG tokens have codes and keys."""
+    once = lambda c, f: F.transform(F.array(c), f)[0]
+    bare = F.regexp_replace(line, "[0-9 \t\r]+", "")
+
+    def read(tokens: Column) -> Column:
+        n = F.size(tokens)
+        return F.struct(
+            n.alias("n"), ((n >= LONG) | (F.length(line) >= LONG_CHARS)).alias("long"), F.when((n > 0) & (bare != ""), F.xxhash64(n, tokens)).alias("whole"),
+            F.when(n >= LONG, F.transform(tokens, lambda t: F.hash(t))).alias("codes"), F.when(n >= LONG, keys(tokens)).alias("keys"))
 
+    return once(fields(F.regexp_replace(line, "[0-9]+", "<*>")), read)
 
-def templates(tokens: Column) -> Column:
-    """Hashes of a line's templates: as it is, and with each part open if it is long enough."""
-    n = F.size(tokens)
-    rest = n - DEPTH
+
+def keys(tokens: Column) -> Column:
+    """Hashes of a line's leaf with each two of its parts."""
+    rest = F.size(tokens) - DEPTH
     cut = lambda j: F.floor(rest * j / PARTS).cast("int")
     part = lambda j: F.xxhash64(F.slice(tokens, cut(j) + (DEPTH + 1), cut(j + 1) - cut(j)))
-    leaf = F.xxhash64(n, F.slice(tokens, 1, DEPTH))
-    hashed = F.array(leaf, *(part(j) for j in range(PARTS)))  # computed once, then used as h
-    opened = lambda h, j: F.xxhash64(h[0], F.lit(j), *(h[1 + i] for i in range(PARTS) if i != j))
-    long_ones = F.flatten(F.transform(F.array(hashed), lambda h: F.array(F.xxhash64(n, tokens), *(opened(h, j) for j in range(PARTS)))))
-    return F.when(n >= LONG, long_ones).when(n >= LEAST, F.array(F.xxhash64(n, tokens))).otherwise(F.array().cast("array<bigint>"))
+    hashed = F.array(F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH)), *(part(j) for j in range(PARTS)))  # computed once, then used as h
+    return F.transform(F.array(hashed), lambda h: F.array(*(F.xxhash64(h[0], F.lit(i), F.lit(j), h[1 + i], h[1 + j]) for i, j in combinations(range(PARTS), 2))))[0]
+
+
+def merged(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """whole: distinct lines that have the template of a line of an earlier document.
+
+    A key names one line, the first that has it, and all others are compared with that one only. So a leaf costs as many
+    comparisons as it has lines, whatever its size.
+    """
+    each = firsts.filter(F.col(KEYS[0]).isNotNull()).select("whole", "at", F.explode(F.array(*KEYS)).alias("key"))
+    pivots = each.groupBy("key").agg(F.min(F.struct("at", "whole")).alias("pivot"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
+    pairs = stored(each.join(pivots.select("key", "pivot"), "key").filter("pivot.at.doc < at.doc").select("whole", "at", "pivot").distinct())
+    wanted = pairs.select("whole", "at").union(pairs.select("pivot.whole", "pivot.at")).distinct().select("whole", "at.*")
+    codes = stored(lines.join(wanted, ["whole", "doc", "pos", "body"]).select("whole", "codes").dropDuplicates(["whole"]))
+    theirs = codes.select(F.col("whole").alias("first"), F.col("codes").alias("theirs"))
+    beside = pairs.select("whole", F.col("pivot.whole").alias("first")).join(codes, "whole").join(theirs, "first")
+    equal = F.size(F.filter(F.zip_with("codes", "theirs", lambda a, b: a == b), lambda same: same))
+    return beside.filter(100 * equal >= PERCENT * F.size("codes")).select("whole").distinct()
 
 
 def without_recurring_lines(docs: DataFrame, whole: str | None = None) -> DataFrame:
     """Documents with all their columns, lines of recurring templates taken out of text, and n_lines, n_dropped, n_tokens,
     n_dropped_tokens.
 
-    A line stays in the document of the smallest id among those that share a template, however often it stands there.
-    Rows of one id count as one document; a missing id comes after all others. Null texts stay null and have no lines;
-    blank and very short lines stay. Lines are cut at \\n and nothing but whole lines is changed. Columns of documents
-    that have one of the four names are replaced. An empty table gives no rows. whole names a column for the text as it was.
+    A line stays in the document of the smallest id among those that share a template, however often it stands there. Lines
+    of LONG tokens or LONG_CHARS characters go from two documents on, shorter ones from ten. Of these, only equal ones (up to
+    digits) share a template, and so do long ones of few tokens; others share one with the first line that has their leaf
+    and two of their quarters, if PERCENT of the positions are equal. That line may in turn have the template of an earlier
+    one. Rows of one id count as one document; a missing id comes after all others. Null texts stay null and have no lines;
+    blank lines and those of digits only stay. Lines are cut at \\n and nothing but whole lines is changed. Columns of
+    documents that have one of the four names are replaced. An empty table gives no rows. whole names a column for the
+    text as it was.
     """
     own = ["n_lines", "n_dropped", "n_tokens", "n_dropped_tokens"]
     docs = docs.drop(*own)
@@ -61,12 +91,15 @@ def without_recurring_lines(docs: DataFrame, whole: str | None = None) -> DataFr
     text = F.col("text").cast("string")
     body = F.xxhash64(text)
     read = docs.select(doc.alias("doc"), body.alias("body"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    lines = stored(read.select("doc", "body", "pos", parsed(F.col("line")).alias("line"))).select("doc", "body", "pos", "line.n", "line.templates")
-
-    opened = lines.select("doc", "body", "pos", "n", F.explode("templates").alias("template"))
-    recurring = (opened.select("doc", "template", "n").distinct().groupBy("template", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("doc").alias("first"))
-                 .filter(F.col("docs") >= F.when(F.col("n") >= LONG, DOCS).otherwise(DOCS_SHORT)).select("template", "first"))
-    dropped = opened.join(recurring, "template").filter("first < doc").select("doc", "body", "pos", "n").distinct()
+    lines = stored(read.select("doc", "body", "pos", parsed(F.col("line")).alias("line")).filter("line.whole is not null").select("doc", "body", "pos", "line.*"))
+
+    by_doc = lines.groupBy("whole", "doc").agg(F.min(F.struct("pos", "body")).alias("at"), F.max("long").alias("long"), *(F.min(F.col("keys")[i]).alias(k) for i, k in enumerate(KEYS)))
+    at = F.struct("doc", F.col("at.pos").alias("pos"), F.col("at.body").alias("body"))
+    firsts = stored(by_doc.groupBy("whole").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("docs"), F.max("long").alias("long"), *(F.min(k).alias(k) for k in KEYS)))
+    later = merged(lines, firsts).select("whole", F.lit(-1).cast("long").alias("first"))
+    often = firsts.filter(F.col("docs") >= F.when(F.col("long"), DOCS).otherwise(DOCS_SHORT)).select("whole", F.col("at.doc").alias("first"))
+    recurring = often.union(later).groupBy("whole").agg(F.min("first").alias("first"))
+    dropped = lines.select("doc", "body", "pos", "n", "whole").join(recurring, "whole").filter("first < doc").select("doc", "body", "pos", "n").distinct()
     gone = dropped.groupBy("doc", "body").agg(F.array_sort(F.collect_list("pos")).alias("gone"), F.sum("n").alias("gone_tokens"))
     gone = stored(gone.withColumnsRenamed({"doc": "gone_doc", "body": "gone_body"}))
 

@@ -22,12 +22,16 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 LINES = r"""
 WITH lines AS (SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
-toks AS (SELECT doc_id, pos, line, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[ \t\r]+'), lambda t: t <> '') AS t FROM lines),
-parts AS (SELECT doc_id, pos, len(t) AS n, t, CASE WHEN len(t) >= 8 THEN list_transform([0, 1, 2, 3], lambda j: list_slice(t, 4 + (len(t) - 3) * j // 4, 3 + (len(t) - 3) * (j + 1) // 4)) END AS p FROM toks WHERE len(t) >= 3),
-tmpl AS (SELECT doc_id, pos, n, 'whole ' || to_json(t) AS k FROM parts
-  UNION ALL SELECT doc_id, pos, n, j || to_json([list_slice(t, 1, 3)] || list_filter(p, lambda x, i: i <> j)) AS k FROM parts, unnest([1, 2, 3, 4]) AS u(j) WHERE n >= 8),
-rec AS (SELECT n, k, min(doc_id) AS first FROM tmpl GROUP BY n, k HAVING count(DISTINCT doc_id) >= CASE WHEN n >= 8 THEN 2 ELSE 10 END),
-gone AS (SELECT DISTINCT doc_id, pos, n FROM tmpl JOIN rec USING (n, k) WHERE first < doc_id),
+toks AS (SELECT doc_id, pos, line, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '<*>', 'g'), '[ \t\r]+'), lambda t: t <> '') AS t FROM lines
+  WHERE regexp_replace(line, '[0-9 \t\r]+', '', 'g') <> ''),
+parts AS (SELECT doc_id, pos, len(t) AS n, t, line, CASE WHEN len(t) >= 8 THEN list_transform([0, 1, 2, 3], lambda j: list_slice(t, 4 + (len(t) - 3) * j // 4, 3 + (len(t) - 3) * (j + 1) // 4)) END AS p FROM toks),
+often AS (SELECT t, min(doc_id) AS first FROM parts GROUP BY t HAVING count(DISTINCT doc_id) >= CASE WHEN max(n) >= 8 OR max(length(line)) >= 50 THEN 2 ELSE 10 END),
+keyed AS (SELECT doc_id, pos, n, t, i || '-' || j || to_json([list_slice(t, 1, 3), p[i], p[j]]) AS k FROM parts, (VALUES (1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)) AS u(i, j) WHERE n >= 8),
+heads AS (SELECT n, k, arg_min(t, (doc_id, pos)) AS theirs, min(doc_id) AS first FROM keyed GROUP BY n, k HAVING count(DISTINCT t) > 1),
+later AS (SELECT DISTINCT t FROM (SELECT t, n, theirs, min(first) AS first, min(doc_id) AS own FROM keyed JOIN heads USING (n, k) GROUP BY 1, 2, 3)
+  WHERE first < own AND 100 * len(list_filter(list_zip(t, theirs), lambda x: x[1] = x[2])) >= 85 * n),
+rec AS (SELECT t, min(first) AS first FROM (SELECT * FROM often UNION ALL SELECT t, -1 AS first FROM later) GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, pos, n FROM parts JOIN rec USING (t) WHERE first < doc_id),
 kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text FROM lines l ANTI JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY 1),
 lost AS (SELECT doc_id, count(*) AS n_dropped, sum(n) AS n_tokens FROM gone GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,

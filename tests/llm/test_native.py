@@ -27,6 +27,15 @@ def test_an_open_part_makes_a_template(spark):
     assert [r["text"] for r in linededup.without_recurring_lines(docs).orderBy("doc_id").collect()] == [lines[0], "", "", "the job on host alpha started now and then stopped for a while"]
 
 
+def test_lines_of_two_fields_merge_and_own_text_stays(spark):
+    words = [f"word{'abcdefghijklmnopqrstuvwxyz'[i]}" for i in range(20)]
+    two = [*words[:6], "other", *words[7:17], "fields", *words[18:]]
+    own = [*words[:15], *"its own text at last".split()]
+    wide = "\u4e2d\u6587" * 40
+    docs = spark.createDataFrame(list(enumerate([" ".join(words), " ".join(two), " ".join(own), wide, wide])), "doc_id long, text string")
+    assert [r["text"] for r in linededup.without_recurring_lines(docs).orderBy("doc_id").collect()] == [" ".join(words), "", " ".join(own), wide, ""]
+
+
 def test_licences(spark):
     mit = "Copyright (c) 1999 Somebody\n\n" + licences.MIT.upper().replace("SUBLICENSE", "SUB-LICENCE")
     rows = [(1, mit), (2, "Some prose\nreleased under the MIT License\nlicensed under CC BY-NC 4.0"), (3, None), (4, ""), (5, "(c) me"), (6, "prose " * 40_000), (2, "prose")]

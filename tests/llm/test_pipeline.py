@@ -1,8 +1,9 @@
+import random
 import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from reportloom.llm import queries
+from reportloom.llm import linededup, queries
 
 
 def parquet(spark, place, **tables):
@@ -36,11 +37,29 @@ def test_contamination_goes_by_row(spark, tmp_path):
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted((r for r in rows if r[1] != dirty), key=str)
 
 
-def templates(line):
-    t = re.sub("[0-9]+", "<*>", line).split()
-    cut = [3 + (len(t) - 3) * j // 4 for j in range(5)]
-    opened = [(len(t), j, *t[:3], *(tuple(t[cut[i] : cut[i + 1]]) for i in range(4) if i != j)) for j in range(4)] if len(t) >= 8 else []
-    return len(t), [(len(t), "whole", *t), *opened] if len(t) >= 3 else []
+def left_of_lines(docs):
+    """Of documents in order of their ids, the lines that stay."""
+    def parse(line):
+        return tuple(re.sub("[0-9]+", "<*>", line).split(" ")) if re.sub("[0-9 ]+", "", line) else ()
+
+    def keys(t):
+        cut = [3 + (len(t) - 3) * j // 4 for j in range(5)]
+        return [(len(t), t[:3], i, j, t[cut[i] : cut[i + 1]], t[cut[j] : cut[j + 1]]) for i in range(4) for j in range(i)] if len(t) >= 8 else []
+
+    held, long, pivot = defaultdict(list), set(), {}
+    for i, text in docs:
+        for line in text.split("\n"):
+            if t := parse(line):
+                held[t].append(i)
+                long |= {t} if len(t) >= 8 or len(line) >= 50 else set()
+                for k in keys(t):
+                    pivot.setdefault(k, (i, t))
+    recurring = {t: ids[0] for t, ids in held.items() if len(set(ids)) >= (2 if t in long else 10)}
+    for t, ids in held.items():
+        for first, other in (pivot[k] for k in keys(t)):
+            if first < ids[0] and 100 * sum(a == b for a, b in zip(t, other)) >= 85 * len(t):
+                recurring[t] = -1
+    return [[x for x in text.split("\n") if recurring.get(parse(x), i) >= i] for i, text in docs]
 
 
 def shingles(text):
@@ -60,15 +79,9 @@ def firsts(docs):
 
 
 def brute(docs, bench):
-    held = defaultdict(set)
-    for i, text in docs:
-        for line in text.split("\n"):
-            for k in templates(line)[1]:
-                held[k].add(i)
-    recurring = {k: min(ids) for k, ids in held.items() if len(ids) >= (2 if k[0] >= 8 else 10)}
-    kept, whole = [], firsts(docs)
+    kept, whole, stay = [], firsts(docs), left_of_lines(docs)
     for at, (i, text) in enumerate(docs):
-        left = [x for x in text.split("\n") if not any(recurring.get(k, i) < i for k in templates(x)[1])]
+        left = stay[at]
         if "".join(left).strip() or not text.strip():
             kept.append((i, "\n".join(left)))
         elif at in whole:
@@ -84,6 +97,25 @@ def brute(docs, bench):
     return clean
 
 
+def test_lines_against_brute_force(spark):
+    rng = random.Random(4)
+    base = [[f"{chr(97 + rng.randrange(26))}{i}x" for i in range(n)] for n in (8, 9, 20, 20, 57)]
+    docs = []
+    for i in range(150):
+        lines = [rng.choice(["Les.", "Read more", "12", "", "3 of 4", f"own{i}"])]
+        for _ in range(3):
+            t = list(rng.choice(base))
+            for _ in range(rng.choice([0, 1, 2, 3, 5])):
+                t[rng.randrange(len(t))] = f"q{chr(97 + rng.randrange(4))}"
+            lines.append(" ".join(t))
+        docs.append((i, "\n".join(lines)))
+    expected = {i: "\n".join(left) for (i, _), left in zip(docs, left_of_lines(docs))}
+    got = linededup.without_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: r.text for r in got.collect()} == expected
+    stay = Counter(x for text in expected.values() for x in text.split("\n"))
+    assert stay["Les."] == stay["Read more"] == 1 and stay["12"] > 10 and sum(map(len, expected.values())) < sum(len(t) for _, t in docs) / 2
+
+
 def test_run_against_brute_force(spark, tmp_path):
     first = {i: words(i, 30) for i in range(6)}
     footer = words(60, 24)

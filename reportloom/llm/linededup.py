@@ -32,26 +32,26 @@ def fields(text: Column) -> Column:
 
 
 def parsed(line: Column) -> Column:
-    """n (tokens), long, whole (a hash of all tokens, null for a line of nothing but digits), codes (a hash of each token) and
-    keys of a line, whose tokens are cut once. Only lines of LONG tokens have codes and keys."""
+    """n (tokens), long, whole (a hash of all tokens, null for a line of nothing but digits) and codes (a hash of each token, for
+    lines of LONG tokens only) of a line, whose tokens are cut once."""
     once = lambda c, f: F.transform(F.array(c), f)[0]
-    bare = F.regexp_replace(line, "[0-9 \t\r]+", "")
 
     def read(tokens: Column) -> Column:
         n = F.size(tokens)
+        fixed = F.contains(line, F.lit("<*>")) | F.exists(tokens, lambda t: t != "<*>")  # not digits only
         return F.struct(
-            n.alias("n"), ((n >= LONG) | (F.length(line) >= LONG_CHARS)).alias("long"), F.when((n > 0) & (bare != ""), F.xxhash64(n, tokens)).alias("whole"),
-            F.when(n >= LONG, F.transform(tokens, lambda t: F.hash(t))).alias("codes"), F.when(n >= LONG, keys(tokens)).alias("keys"))
+            n.alias("n"), ((n >= LONG) | (F.length(line) >= LONG_CHARS)).alias("long"), F.when((n > 0) & fixed, F.xxhash64(n, tokens)).alias("whole"),
+            F.when(n >= LONG, F.transform(tokens, lambda t: F.hash(t))).alias("codes"))
 
     return once(fields(F.regexp_replace(line, "[0-9]+", "<*>")), read)
 
 
-def keys(tokens: Column) -> Column:
+def keys(codes: Column) -> Column:
     """Hashes of a line's leaf with each two of its parts."""
-    rest = F.size(tokens) - DEPTH
+    rest = F.size(codes) - DEPTH
     cut = lambda j: F.floor(rest * j / PARTS).cast("int")
-    part = lambda j: F.xxhash64(F.slice(tokens, cut(j) + (DEPTH + 1), cut(j + 1) - cut(j)))
-    hashed = F.array(F.xxhash64(F.size(tokens), F.slice(tokens, 1, DEPTH)), *(part(j) for j in range(PARTS)))  # computed once, then used as h
+    part = lambda j: F.xxhash64(F.slice(codes, cut(j) + (DEPTH + 1), cut(j + 1) - cut(j)))
+    hashed = F.array(F.xxhash64(F.size(codes), F.slice(codes, 1, DEPTH)), *(part(j) for j in range(PARTS)))  # computed once, then used as h
     return F.transform(F.array(hashed), lambda h: F.array(*(F.xxhash64(h[0], F.lit(i), F.lit(j), h[1 + i], h[1 + j]) for i, j in combinations(range(PARTS), 2))))[0]
 
 
@@ -65,7 +65,7 @@ def merged(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     pivots = each.groupBy("key").agg(F.min(F.struct("at", "whole")).alias("pivot"), F.count(F.lit(1)).alias("lines")).filter("lines > 1")
     pairs = stored(each.join(pivots.select("key", "pivot"), "key").filter("pivot.at.doc < at.doc").select("whole", "at", "pivot").distinct())
     wanted = pairs.select("whole", "at").union(pairs.select("pivot.whole", "pivot.at")).distinct().select("whole", "at.*")
-    codes = stored(lines.join(wanted, ["whole", "doc", "pos", "body"]).select("whole", "codes").dropDuplicates(["whole"]))
+    codes = stored(lines.join(wanted, ["whole", "doc", "pos"]).select("whole", "codes").dropDuplicates(["whole"]))
     theirs = codes.select(F.col("whole").alias("first"), F.col("codes").alias("theirs"))
     beside = pairs.select("whole", F.col("pivot.whole").alias("first")).join(codes, "whole").join(theirs, "first")
     equal = F.size(F.filter(F.zip_with("codes", "theirs", lambda a, b: a == b), lambda same: same))
@@ -91,11 +91,15 @@ def without_recurring_lines(docs: DataFrame, whole: str | None = None) -> DataFr
     text = F.col("text").cast("string")
     body = F.xxhash64(text)
     read = docs.select(doc.alias("doc"), body.alias("body"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    lines = stored(read.select("doc", "body", "pos", parsed(F.col("line")).alias("line")).filter("line.whole is not null").select("doc", "body", "pos", "line.*"))
-
-    by_doc = lines.groupBy("whole", "doc").agg(F.min(F.struct("pos", "body")).alias("at"), F.max("long").alias("long"), *(F.min(F.col("keys")[i]).alias(k) for i, k in enumerate(KEYS)))
-    at = F.struct("doc", F.col("at.pos").alias("pos"), F.col("at.body").alias("body"))
-    firsts = stored(by_doc.groupBy("whole").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("docs"), F.max("long").alias("long"), *(F.min(k).alias(k) for k in KEYS)))
+    lines = stored(read.select("doc", "body", "pos", parsed(F.col("line")).alias("line")).filter("line.whole is not null").select("doc", "body", "pos", "line.*").withColumn("line_keys", F.when(F.col("codes").isNotNull(), keys(F.col("codes")))))
+
+    at = F.min(F.struct("doc", "pos")).alias("at")
+    long = lines.filter("codes is not null").select("whole", "doc", "pos", "line_keys")
+    often_long = F.when(F.max("doc") > F.min("doc"), DOCS).otherwise(1).cast("long").alias("docs")  # one or more is all that matters
+    many = long.groupBy("whole").agg(at, often_long, F.lit(True).alias("long"), *(F.min(F.col("line_keys")[i]).alias(k) for i, k in enumerate(KEYS)))
+    by_doc = lines.filter("codes is null").groupBy("whole", "doc").agg(F.min("pos").alias("pos"), F.max("long").alias("long"))
+    few = by_doc.groupBy("whole").agg(at, F.count(F.lit(1)).alias("docs"), F.max("long").alias("long"), *(F.lit(None).cast("long").alias(k) for k in KEYS))
+    firsts = stored(many.union(few))
     later = merged(lines, firsts).select("whole", F.lit(-1).cast("long").alias("first"))
     often = firsts.filter(F.col("docs") >= F.when(F.col("long"), DOCS).otherwise(DOCS_SHORT)).select("whole", F.col("at.doc").alias("first"))
     recurring = often.union(later).groupBy("whole").agg(F.min("first").alias("first"))

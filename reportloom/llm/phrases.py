@@ -199,14 +199,15 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent_pairs(chunks: DataFrame, least: int = LEAST) -> DataFrame:
     """``bucket, pair, check, total``: for each bucket of chunks its word pairs that come often enough in the whole corpus.
 
-    A pair is known by 128 bits. One of the buckets that hold it has its total, and will spell it.
+    A pair is known by 128 bits. One of the buckets that hold it has its total, and will spell it. The pair behind a chunk's
+    own words is not counted there, but its bucket has to know it: a phrase of three words may end with it.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bucket(batches):
             some = Bucket(_column(batch, "lang"), _column(batch, "chunk"), _numbers(batch, "own"), _numbers(batch, "n"))
-            use = some.counted & some.follows
-            pair, check, sums = _summed(some.pair[use], some.check[use], some.times[use])
+            use = some.follows
+            pair, check, sums = _summed(some.pair[use], some.check[use], np.where(some.counted, some.times, 0)[use])
             yield pa.record_batch([pa.array(np.full(len(pair), _numbers(batch, "bucket")[0])), pa.array(pair.view(np.int64)), pa.array(check.view(np.int64)),
                                    pa.array(sums)], ["bucket", "pair", "check", "n"])
 
@@ -249,7 +250,7 @@ def phrase_counts(chunks: DataFrame, pairs: DataFrame, least: int = LEAST) -> Da
                 return pa.record_batch([some.langs.take(pa.array(some.lang[at])), pa.array(np.full(len(at), words), pa.int32()), phrase, pa.array(sums)],
                                        ["lang", "words", "phrase", "n"])
 
-            at = np.flatnonzero(some.counted & two)
+            at = np.flatnonzero(two)
             at = at[total[found[at]] > 0]
             one = at[np.unique(found[at], return_index=True)[1]]
             yield told(one, 2, total[found[one]])

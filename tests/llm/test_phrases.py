@@ -63,6 +63,16 @@ def test_small_buckets_give_the_same(spark, monkeypatch):
     assert found(spark, rows, 100) == plain(rows, 100)
 
 
+def test_phrases_that_end_behind_the_own_words_of_a_chunk(spark, monkeypatch):
+    rng = random.Random(1)
+    bag = [f"w{i}" for i in range(60)]
+    known = [" ".join(rng.choices(bag, k=3)) for _ in range(60)]
+    rows = [(rng.choice(["en", None]), " ".join(rng.choices(known, k=rng.randrange(30)))) for _ in range(120)]
+    for bits in (3, 0):
+        monkeypatch.setattr(phrases, "BUCKET_BITS", bits)
+        assert found(spark, rows, 2000) == plain(rows, 2000)
+
+
 def test_products_beyond_64_bits(spark):
     big = 3_000_000_000
     counts = spark.createDataFrame([("en", 1, "a", big), ("en", 1, "b", big + 1), ("en", 2, "a b", big - 7)], "lang string, words int, phrase string, f long")

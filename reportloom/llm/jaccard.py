@@ -285,7 +285,7 @@ def components_of_sets(docs: DataFrame, size: int, percent: int, counted: bool)
     edges = lambda linked: linked.select(F.col("rep").alias("u"), F.col("root").alias("v"))
     clusters = labels(edges(verified(asking, pivots, tokens, percent, downward=False)))
 
-    family = F.coalesce(F.xxhash64("root", F.lit(1)), F.xxhash64("gather"))
+    family = F.when(F.col("root").isNull(), F.xxhash64("gather")).otherwise(F.xxhash64("root", F.lit(1)))  # a hash of null is not null
     grouped = stored(same.select("rep", "n", "gather").join(clusters, "rep", "left").select("rep", "n", F.coalesce("root", "rep").alias("cluster"), family.alias("family")))
     placed, large = cut(grouped, GROUP_SETS, GROUP_TOKENS)
     found = stored(candidate_families(shared.select("rep", "token", "indexed").join(grouped, "rep"), percent))

@@ -78,3 +78,17 @@ def test_a_set_is_cut_from_one_row(spark, monkeypatch):
     assert sorted(r["n_links"] for r in got) == [0] * 20 + [11] * 12 and {r["component_id"] for r in got} == {None, 5}
     (wanted, sets), = made
     assert sorted(r["rep"] for r in sets.collect()) == sorted(r["rep"] for r in wanted.collect())
+
+
+def test_sets_of_no_cluster_are_no_family(spark, monkeypatch):
+    rng = random.Random(2)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [words(30) for _ in range(60)]  # each in two texts that are not similar
+    docs = [(i, " ".join(passages[i // 2] + words(40))) for i in range(120)]
+    asked, ask = [], jaccard.all_parts
+    monkeypatch.setattr(jaccard, "all_parts", lambda found, large: asked.append((found.count(), (parts := ask(found, large)).count())) or parts)
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 4)
+    assert {r["component_id"] for r in jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == set(range(120))
+    found, parts = asked[0]
+    assert 20 < found and parts == found

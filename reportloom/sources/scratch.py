@@ -35,10 +35,13 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Writes the frame and reads it back: later passes read columns, and losing an executor recomputes nothing."""
+def materialise(df: DataFrame, path: str | None = None, outlives: bool = False) -> DataFrame:
+    """Writes the frame and reads it back: later passes read columns, and losing an executor recomputes nothing.
+
+    A table that outlives the innermost scope belongs to the one around it, if there is one.
+    """
     path = path or fresh_path(df.sparkSession, "table")
-    for paths in getattr(_scopes, "open", [])[-1:]:
+    for paths in getattr(_scopes, "open", [])[: -1 if outlives else None][-1:]:
         paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

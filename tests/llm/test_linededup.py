@@ -1,6 +1,7 @@
 import os
 from urllib.parse import urlparse
 
+import corpus_pipeline
 from reportloom.llm import linededup
 from reportloom.sources.scratch import scratch_dir
 
@@ -39,3 +40,10 @@ def test_tokens_of_equal_rows_and_lines_of_digits(spark):
     dropped = {1: 0, 2: 1, 3: 1, None: 1, 7: 1}
     expected = [(i, len(t.split("\n")) if t is not None else 0, dropped.get(i, 0), len((t or "").split()), 13 * dropped.get(i, 0)) for i, t in ROWS]
     assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_the_line_stage_leaves_one_table_to_later_stages(spark):
+    place = urlparse(scratch_dir(spark)).path
+    before = set(os.listdir(place)) if os.path.isdir(place) else set()
+    left = corpus_pipeline.without_lines(spark, frame(spark), "")
+    assert len(set(os.listdir(place)) - before) == 1 and left.columns == ["doc_id", "text"]

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from reportloom.operators.markup import CELLS_XML, XML_OPTIONS, _with_plain_cells, cells, loose_cells
+from reportloom.sources.reports import file_forms, read_report_rows
 
 PLAIN = ["<tr><td>a</td><td></td><td>c d</td></tr>", "<tr>\n <td>a\nb</td>\n<td>c \t</td></tr>", "<tr><td>&amp;lt; &lt;&gt;&quot;&apos;</td><td>&amp;amp;</td></tr>",
          "<tr><td>é日本\U0001f600 > ]] </td></tr>", "<tr><td>" + "</td><td>".join(map(str, range(5000))) + "</td></tr>"]
@@ -25,3 +26,24 @@ def test_plain_rows_need_no_parser_and_give_what_it_gives(spark):
 
 def test_a_loose_row_is_cut_once():
     assert str(loose_cells(F.col("tr"))).count("</tr") == 1
+
+
+def test_small_files_are_looked_at_without_python(spark, tmp_path, monkeypatch):
+    page = "<table><tr><th>h</th></tr><tr><td>{}</td></tr></table>"
+    for i, (encoding, change) in enumerate([("utf-8", str), ("utf-8", str.upper), ("utf-16-le", str), ("utf-16-be", str.upper), ("utf-8", lambda text: "no row")]):
+        (tmp_path / f"a+b {i}.html").write_bytes(change(page.format(i)).encode(encoding))
+    (tmp_path / "empty.html").write_bytes(b"")
+    frame, parts = type(spark.range(1)), []
+    look = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **b: (parts.append(self.rdd.getNumPartitions()), look(self, *a, **b))[1])
+    forms = file_forms(spark, str(tmp_path))
+    assert sum(parts) == 0
+    assert {form: len(names) for form, names in forms.items()} == {("UTF-8", "</tr"): 2, ("UTF-8", "</TR"): 1, ("UTF-16LE", "</tr"): 1, ("UTF-16BE", "</TR"): 1}
+    rows = cells(read_report_rows(spark, str(tmp_path))).collect()
+    assert sorted(r.cells[0] for r in rows) == ["0", "1", "2", "3"]
+
+
+def test_no_files_of_the_size_give_no_rows(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<table></table>")
+    assert read_report_rows(spark, str(tmp_path), size_above=1 << 40).columns == ["report_id", "source_path", "row_pos", "tr"]
+    assert read_report_rows(spark, str(tmp_path), fields=(), size_above=1 << 40).collect() == []

@@ -260,7 +260,7 @@ def load_ledger(spark, sf_dir):
 
 def load_row_keys(spark, sf_dir):
     """Numbers of two loads: each has its own range, and counts its rows in their order."""
-    rows, place = _usage_load(spark, sf_dir).select("index_id", "rows"), fresh_path(spark, "keys")
+    rows, place = materialise(_usage_load(spark, sf_dir).select("index_id", "rows")), fresh_path(spark, "keys")
     loads = [with_row_key(rows, place, ["index_id"]) for _ in range(2)]
     return loads[0].unionByName(loads[1]).select("index_id", F.shiftright("row_key", ROWS_BITS).alias("load_no"), F.col("row_key").bitwiseAND((1 << ROWS_BITS) - 1).alias("row_no"))
 

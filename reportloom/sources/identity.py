@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reportloom.operators.numbering import number_rows
+from reportloom.sources.scratch import fresh_path, materialise, remove
 
 ROWS_BITS = 40  # a load may have a million million rows, and there may be eight million loads
 ROW_KEY = "row_key"
@@ -45,7 +46,12 @@ def reserve(spark: SparkSession, folder: str) -> int:
 
 def with_row_key(rows: DataFrame, folder: str, order: list[str], name: str = ROW_KEY) -> DataFrame:
     """Adds a number that is unique over all loads with one folder of reservations, growing with the loads and, within
-    one, by ``order``, which should tell rows apart. Rows of a load are numbered without gaps, in ranges, not in one task."""
-    number = reserve(rows.sparkSession, folder)
-    numbered = number_rows(rows, [F.asc(c) for c in order], name=name)
+    one, by ``order``, which should tell rows apart. Rows of a load are numbered without gaps, in ranges, not in one task.
+
+    They are stored first, since ranging looks at them once to find its bounds and once to deal them out."""
+    spark = rows.sparkSession
+    number = reserve(spark, folder)
+    stored = materialise(rows, path := fresh_path(spark, "unnumbered"))
+    numbered = number_rows(stored, [F.asc(c) for c in order], name=name)
+    remove(spark, path)
     return numbered.withColumn(name, F.lit(number << ROWS_BITS) + F.col(name))

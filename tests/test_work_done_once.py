@@ -1,8 +1,11 @@
 """What large loads must not do: parse plain rows as XML, start Python for small files, work rows out again for each use."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from reportloom.operators.markup import CELLS_XML, XML_OPTIONS, _with_plain_cells, cells, loose_cells
+from reportloom.sources.identity import with_row_key
 from reportloom.sources.reports import file_forms, read_report_rows
 
 PLAIN = ["<tr><td>a</td><td></td><td>c d</td></tr>", "<tr>\n <td>a\nb</td>\n<td>c \t</td></tr>", "<tr><td>&amp;lt; &lt;&gt;&quot;&apos;</td><td>&amp;amp;</td></tr>",
@@ -47,3 +50,31 @@ def test_no_files_of_the_size_give_no_rows(spark, tmp_path):
     (tmp_path / "a.html").write_text("<table></table>")
     assert read_report_rows(spark, str(tmp_path), size_above=1 << 40).columns == ["report_id", "source_path", "row_pos", "tr"]
     assert read_report_rows(spark, str(tmp_path), fields=(), size_above=1 << 40).collect() == []
+
+
+def counted(spark, n=7):
+    """Rows that count how often they are worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(i):
+        seen.add(1)
+        return i
+
+    return spark.range(n).select(F.udf(see, "int")("id").alias("index_id")), seen
+
+
+def test_rows_are_worked_out_once_to_be_numbered(spark, tmp_path):
+    rows, seen = counted(spark)
+    numbered = with_row_key(rows, str(tmp_path / "keys"), ["index_id"])
+    assert [r.row_key - (1 << 40) for r in numbered.orderBy("index_id").collect()] == [1, 2, 3, 4, 5, 6, 7]
+    assert seen.value == 7
+
+
+@pytest.mark.parametrize("name, wanted", [("load_row_keys", None)])
+def test_rows_are_worked_out_once_for_all_their_loads(spark, monkeypatch, name, wanted):
+    rows, seen = counted(spark)
+    more = rows.select(F.lit("1").alias("report_id"), "index_id", F.lit(None).cast("bigint").alias("rows"))
+    monkeypatch.setattr(queries, "_usage_load", lambda *_: more)
+    found = queries.QUERIES[name](spark, "")
+    assert found.count() == 14 if wanted is None else [r.n_rows for r in found.collect()] == wanted
+    assert seen.value == 7

@@ -191,7 +191,7 @@ def unconverted(spark, sf_dir):
 
 def load_append(spark, sf_dir):
     """Two appends double the rows, and creating the table again leaves it alone."""
-    name, rows = _load_table(spark, "append"), _usage_load(spark, sf_dir).withColumn("load_id", F.lit("a"))
+    name, rows = _load_table(spark, "append"), materialise(_usage_load(spark, sf_dir)).withColumn("load_id", F.lit("a"))
     tables.append(rows, name)
     tables.ensure_table(spark, name, USAGE_TABLE_DDL)
     tables.append(rows, name)

@@ -70,7 +70,7 @@ def test_rows_are_worked_out_once_to_be_numbered(spark, tmp_path):
     assert seen.value == 7
 
 
-@pytest.mark.parametrize("name, wanted", [("load_replace", [7, 7]), ("load_row_keys", None)])
+@pytest.mark.parametrize("name, wanted", [("load_append", [14]), ("load_replace", [7, 7]), ("load_row_keys", None)])
 def test_rows_are_worked_out_once_for_all_their_loads(spark, monkeypatch, name, wanted):
     rows, seen = counted(spark)
     more = rows.select(F.lit("1").alias("report_id"), "index_id", F.lit(None).cast("bigint").alias("rows"))
